@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import line_dedup
 from .common import read_table
 
 
@@ -15,6 +16,12 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import dedup_lines, report
+
+    return report(dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import token_counts
 
@@ -30,8 +37,9 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op4_token_counts": op4_token_counts,
     "op7_decontaminate": op7_decontaminate,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op1_line_dedup": line_dedup.SQL}
