@@ -36,10 +36,17 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(hits(docs, read_table(spark, sf_dir, "benchmark")))
 
 
+def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fingerprints import edited_report
+
+    return edited_report(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op4_token_counts": op4_token_counts,
     "op7_decontaminate": op7_decontaminate,
+    "op8_document_fingerprints": op8_document_fingerprints,
 }
 
 SQL: dict[str, str] = {"op1_line_dedup": line_dedup.SQL}
