@@ -42,11 +42,18 @@ def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_report(read_table(spark, sf_dir, "documents"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import report
+
+    return report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op4_token_counts": op4_token_counts,
     "op7_decontaminate": op7_decontaminate,
     "op8_document_fingerprints": op8_document_fingerprints,
+    "op9_quality_classifier": op9_quality_classifier,
 }
 
 SQL: dict[str, str] = {"op1_line_dedup": line_dedup.SQL}
