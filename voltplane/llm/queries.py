@@ -29,6 +29,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(docs, tokenizer_path()).drop("text")
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_filter import judged
+
+    return judged(read_table(spark, sf_dir, "pages"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
 
@@ -57,6 +63,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op4_token_counts": op4_token_counts,
+    "op5_url_filter": op5_url_filter,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_decontaminate": op7_decontaminate,
     "op8_document_fingerprints": op8_document_fingerprints,
