@@ -22,6 +22,12 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .license_scan import report
+
+    return report(read_table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import token_counts
 
@@ -62,6 +68,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_license_scan": op2_license_scan,
     "op4_token_counts": op4_token_counts,
     "op5_url_filter": op5_url_filter,
     "op6_best_fit_packing": op6_best_fit_packing,
