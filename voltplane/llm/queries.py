@@ -66,6 +66,12 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram_join import jaccard_components
+
+    return jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_license_scan": op2_license_scan,
@@ -75,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_decontaminate": op7_decontaminate,
     "op8_document_fingerprints": op8_document_fingerprints,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_ngram_join": op10_ngram_join,
 }
 
 SQL: dict[str, str] = {"op1_line_dedup": line_dedup.SQL}
