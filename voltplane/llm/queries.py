@@ -28,6 +28,12 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(read_table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import repeated_spans
+
+    return repeated_spans(read_table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import token_counts
 
@@ -75,6 +81,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_license_scan": op2_license_scan,
+    "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_url_filter": op5_url_filter,
     "op6_best_fit_packing": op6_best_fit_packing,
