@@ -144,7 +144,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, n: int = 10, mode: str = "s
     found = hits(docs, items, n, text_col, **how)
     if mode == "documents":
         return found.where(F.size("hit_spans") == 0).select(*docs.columns)
-    cut = F.udf(without_spans, T.StringType())
+    cut = F.udf(lambda text, spans: without_spans(text, spans), T.StringType())
     return found.withColumn(text_col, F.when(F.size("hit_spans") > 0, cut(text_col, "hit_spans")).otherwise(F.col(text_col))).select(*docs.columns)
 
 
