@@ -73,8 +73,10 @@ class WindowIndex:
         return len(ids), merged, [self.items[i] for i in found]
 
 
-def without_spans(text: str, spans: list[list[int]]) -> str:
-    """The text without the bytes from the first to the last word of each span."""
+def without_spans(text: str | None, spans: list[list[int]] | None) -> str | None:
+    """The text without the bytes from the first to the last word of each span; a text without spans, or null, as it is."""
+    if text is None or not spans:
+        return text
     data = utf8(text)
     at = [m.span() for m in _WORD.finditer(data.translate(ALNUM_TABLE))]
     out, last = [], 0

@@ -76,7 +76,9 @@ class BlockLines:
 
     def bounds(self):
         """(shard, first, end) of the distinct keys of each shard."""
-        cut = np.flatnonzero(np.append(True, self.shard[1:] != self.shard[:-1])) if len(self.shard) else np.zeros(0, np.int64)
+        if not len(self.shard):
+            return []
+        cut = np.flatnonzero(np.append(True, self.shard[1:] != self.shard[:-1]))
         return [(int(self.shard[a]), int(a), int(b)) for a, b in zip(cut, np.append(cut[1:], len(self.shard)), strict=True)]
 
 

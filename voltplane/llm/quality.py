@@ -36,7 +36,7 @@ class WordPlaces(dict):
     """Word -> its hashed place; emptied when it holds many words."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1 << 19:
+        if len(self) >= 1 << 17:
             self.clear()
         place = zlib.crc32(word) % DIMS
         self[word] = place
@@ -191,8 +191,8 @@ def score(docs: DataFrame, machine: Machine | None, threshold: float = 0.3, text
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = WordPlaces()
         for whole in batches:
-            for first in range(0, whole.num_rows, 1000):
-                batch = whole.slice(first, 1000)
+            for first in range(0, whole.num_rows, 500):
+                batch = whole.slice(first, 500)
                 texts = batch.column(text_col).to_pylist()
                 lengths = batch.column(length_col).to_pylist() if has_length else [None] * len(texts)
                 got = [features(t, c, places) for t, c in zip(texts, lengths, strict=True)]

@@ -15,7 +15,7 @@ class WordHashes(dict):
     """Word -> 64-bit hash; emptied when it holds many words."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1 << 19:
+        if len(self) >= 1 << 17:
             self.clear()
         h = xxhash.xxh3_64_intdigest(word)
         self[word] = h

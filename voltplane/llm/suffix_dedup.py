@@ -210,6 +210,6 @@ def without_repeats(docs: DataFrame, n: int = 50, gram: int = 32, id_col: str =
     spans = repeated_spans(docs, n, gram, id_col, text_col).where(F.col("other_doc_id") < F.col("doc_id"))
     spans_col, key = free_name(docs.columns, "spans"), free_name(docs.columns, "span_key")
     by_doc = spans.groupBy(F.col("doc_id").alias(key)).agg(F.array_sort(F.collect_list(F.array("first_word", F.col("first_word") + F.col("n_words")))).alias(spans_col))
-    cut = F.udf(lambda text, s: text if text is None else without_spans(text, s), T.StringType())
+    cut = F.udf(lambda text, s: without_spans(text, s), T.StringType())
     out = docs.join(by_doc, docs[id_col] == F.col(key), "left")
     return out.withColumn(text_col, F.when(F.col(spans_col).isNotNull(), cut(F.col(text_col), F.col(spans_col))).otherwise(F.col(text_col))).select(*docs.columns)
