@@ -154,7 +154,7 @@ def sigma_from_snr(spark, d):
 
 @query(
     "interp_log",
-    """WITH s AS (SELECT card, freq_hz, avg(z_re) AS z FROM p WHERE (freq_hz % 4) = 0 GROUP BY ALL), g AS (SELECT c.card, f.f AS freq_hz FROM (SELECT DISTINCT card FROM p) c, (SELECT unnest([1.5, 6.0, 10.5, 40.0, 70.25, 100.0]) AS f) f),
+    """WITH s AS (SELECT card, freq_hz, avg(z_re) AS z FROM p WHERE (freq_hz % 4) = 0 GROUP BY ALL), g AS (SELECT c.card, f.f AS freq_hz FROM (SELECT DISTINCT card FROM p) c, (SELECT unnest([1.5, 6.0, 10.5, 40.0, 70.25, 100.0]::DOUBLE[]) AS f) f),
     b AS (SELECT g.*, s.freq_hz AS f0, s.z AS z0 FROM g ASOF LEFT JOIN s ON g.card = s.card AND g.freq_hz >= s.freq_hz), a AS (SELECT b.*, s.freq_hz AS f1, s.z AS z1 FROM b ASOF LEFT JOIN s ON b.card = s.card AND b.freq_hz <= s.freq_hz)
     SELECT card, freq_hz, round(CASE WHEN f0 IS NULL THEN z1 WHEN f1 IS NULL THEN z0 WHEN f1 > f0 THEN z0 + (z1 - z0) * (ln(freq_hz) - ln(f0)) / (ln(f1) - ln(f0)) ELSE z0 END, 6) AS z FROM a""",
 )
@@ -165,9 +165,9 @@ def interp_log(spark, d):
     return rounded(joins.interpolate_log(known, grid, ["card"], "freq_hz", ["z"]))
 
 
-@query("duplicate_segment_keep_best", "WITH m AS (SELECT segment, flag, median(snr_db) AS s FROM p GROUP BY ALL), b AS (SELECT segment, arg_min(flag, (-s, flag)) AS flag FROM m GROUP BY segment) SELECT segment, flag, count(*) AS n, round(sum(z_re), 4) AS z_sum FROM p SEMI JOIN b USING (segment, flag) GROUP BY ALL")
+@query("duplicate_segment_keep_best", "WITH m AS (SELECT segment, flag, median(snr_db) AS s FROM p GROUP BY ALL), b AS (SELECT segment, arg_min(flag, (-s, flag)) AS flag FROM m GROUP BY segment) SELECT segment, flag, count(*) AS n, round(sum(z_re), 2) AS z_sum FROM p SEMI JOIN b USING (segment, flag) GROUP BY ALL")
 def duplicate_segment_keep_best(spark, d):
-    return joins.keep_best(points(spark, d), "segment", "flag", "snr_db").groupBy("segment", "flag").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("z_re"), 4).alias("z_sum"))
+    return joins.keep_best(points(spark, d), "segment", "flag", "snr_db").groupBy("segment", "flag").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("z_re"), 2).alias("z_sum"))
 
 
 @query(
