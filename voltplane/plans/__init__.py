@@ -1,6 +1,6 @@
 """Queries and plans built from the operators."""
 
-from . import event_queries, spectra_queries, table_queries
+from . import event_queries, model_queries, spectra_queries, table_queries
 from .registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "event_queries", "spectra_queries", "table_queries"]
+__all__ = ["QUERIES", "SQL", "event_queries", "model_queries", "spectra_queries", "table_queries"]

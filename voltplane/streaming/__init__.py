@@ -1,0 +1 @@
+"""Structured Streaming forms of the batch operators: the same results over files or sockets that grow."""
