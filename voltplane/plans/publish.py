@@ -108,7 +108,8 @@ class Store:
                 continue
             jvm = self.spark._jvm
             for row in df.where(F.col("run_key") == run_key).select(*PARTITIONS).distinct().collect():
-                path = jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/order_id={row.order_id}/run_key={row.run_key}")
+                escaped = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+                path = jvm.org.apache.hadoop.fs.Path("/".join([self.path(name), *(f"{c}={escaped(str(row[c]))}" for c in PARTITIONS)]))
                 path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
                 gone.append(name)
         return gone

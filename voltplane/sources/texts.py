@@ -37,7 +37,7 @@ def dialect(spark: SparkSession, path: str, n: int = 60) -> str:
         ("spectra", re.search(r"f=.*Hz.*z=", text)),
         ("frequency", re.search(r"freq", first) and re.search(r"z_?re|z_?mod|zreal", first)),
         ("long", re.search(r"\btime\b", first) and re.search(r"\bsegment\b", first)),
-        ("wide", re.search(r"\btime(stamp)?\b", first)),
+        ("wide", re.search(r"\btime", first)),
     ):
         if found:
             return name
