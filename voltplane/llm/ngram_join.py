@@ -7,9 +7,9 @@
 3. A bucket orders each node's shingles. Only a node with a shared shingle among its first |x| - ceil(t |x|) + 1 can link. For each of these shingles
    its nodes, ordered by size, are chained wherever two sizes in a row can reach the similarity; what a bucket chains goes on as one interval,
    so a shingle in a third of all nodes is one record a bucket. The components of the chains are clusters: every link lies within one.
-4. Clusters are joined by prefix tree (`TreeJoin`): sets in global order are stored under their first shared shingles, traversed with the
-   partial overlap that the sets of a subtree have in common, and subtrees are pruned by the overlap that their remaining length can still give.
-   Nodes already known to be connected are not compared again.
+4. Clusters are joined by prefix tree (`TreeJoin`): the ordered sets are stored in a tree, traversed with the partial overlap that the sets of a
+   subtree have in common, and subtrees are pruned by the overlap that their remaining length can still give. Nodes of a component that has
+   taken in most of a cluster are not compared with each other again.
 5. A cluster of over `most_tokens` shingles is cut into blocks that are joined one by one, then in pairs, except pairs of blocks that lie in a single
    component by then; so a large group of near copies costs one pass and its stragglers. The components of all links are the result.
 
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_column, pack, pieces_for, written
+from .common import binary_column, pack, pieces_for, ranges, segment_starts, written
 from .components import UnionFind, components
 from .perfect_hash import mix
 from .shingles import WordHashes, set_key, shingle_set
@@ -43,107 +43,116 @@ NAMES = ["kind", "shard", "bucket", "a", "b", "c", "d", "e"]
 DOCS, TOKENS = 0, 1
 
 
-def needed(size_x: int, size_y: int, percent: int) -> int:
-    """The least intersection of two sets of these sizes that link."""
-    return -(-percent * (size_x + size_y) // (100 + percent))
-
-
-def prefix_length(size: int, percent: int) -> int:
-    """Sets that link share one of so many first elements, in any order common to both."""
-    return size - -(-percent * size // 100) + 1
-
-
 class TreeJoin:
     """Links of sets within one cluster. tokens: arrays in global order, of the shared tokens only; sizes: of the whole sets.
 
-    `joined` is the union-find that the links go to; sets that it knows to be connected are skipped.
+    Sets are stored in a prefix tree with compressed paths, most frequent shingle first, so that sets have as long a path in common as can be. On
+    the way down a path its partial overlap with every listed set is carried along: it is counted once for all sets below, from the lists of the
+    sets that hold a shingle. A subtree is pruned where the overlap so far and all that is left below are too few for every listed set.
+
+    Links go to the union-find `joined`. Once a component holds most of the listed sets, its members are taken off the lists: a pair with one
+    of them is met from the other set's side, as the member is stored itself and each pair of components has a set that is still listed.
     """
 
-    def __init__(self, sizes: list[int], tokens: list[list[int]], percent: int, joined: UnionFind):
-        self.sizes, self.tokens, self.percent, self.joined = sizes, tokens, percent, joined
-        #: first shared token -> root of the component -> trees. A tree node: [set, first, end, children, longest rest below, largest size, sets that end here]
-        self.index: dict[int, dict[int, list[list]]] = {}
-
-    def run(self, order: list[int], probe_only: list[int] | None = None) -> None:
-        """Probes and inserts the sets of order, smallest first; then probes those of probe_only."""
-        for x in sorted(order, key=lambda i: (self.sizes[i], i)):
-            self.probe(x)
-            self.insert(x)
-        for x in probe_only or ():
-            self.probe(x)
-
-    def first_tokens(self, x: int) -> list[int]:
-        own = self.sizes[x] - len(self.tokens[x])
-        return self.tokens[x][: max(0, prefix_length(self.sizes[x], self.percent) - own)]
-
-    def insert(self, x: int) -> None:
-        seq, root = self.tokens[x], self.joined.find(x)
-        for at, token in enumerate(self.first_tokens(x)):
-            trees = self.index.setdefault(token, {}).setdefault(root, [])
-            if trees:
-                self._add(trees[0], x, at + 1)
-            else:
-                trees.append([x, at + 1, len(seq), {}, 0, self.sizes[x], [x]])
-
-    def _add(self, node: list, x: int, at: int) -> None:
-        seq = self.tokens[x]
-        while True:
-            node[5] = max(node[5], self.sizes[x])
-            held, first, end = self.tokens[node[0]], node[1], node[2]
-            n = 0
-            while first + n < end and at + n < len(seq) and held[first + n] == seq[at + n]:
-                n += 1
-            if first + n < end:
-                below = [node[0], first + n, end, node[3], node[4], node[5], node[6]]
-                node[2], node[3], node[6] = first + n, {held[first + n]: below}, []
-                node[4] = end - first - n + below[4]
-            at += n
-            node[4] = max(node[4], len(seq) - at)
-            if at == len(seq):
-                node[6] = [*node[6], x]
-                return
-            child = node[3].get(seq[at])
-            if child is None:
-                node[3][seq[at]] = [x, at, len(seq), {}, 0, self.sizes[x], [x]]
-                return
-            node = child
-
-    def probe(self, x: int) -> None:
-        find = self.joined.find
-        have: set[int] | None = None
-        for at, token in enumerate(self.first_tokens(x)):
-            groups = self.index.get(token)
-            if not groups:
+    def __init__(self, sizes: np.ndarray, tokens: list[np.ndarray], percent: int, joined: UnionFind):
+        self.sizes, self.percent, self.joined = np.asarray(sizes, np.int64), percent, joined
+        lengths = np.array([len(t) for t in tokens], np.int64)
+        flat = np.concatenate(tokens) if len(tokens) else np.zeros(0, np.uint64)
+        ranks, local = np.unique(flat, return_inverse=True)
+        self.n_tokens = len(ranks)
+        # the most frequent comes first
+        self.sets = [x[::-1] for x in np.split((self.n_tokens - 1 - local).astype(np.int32), np.cumsum(lengths)[:-1])] if len(tokens) else []
+
+    def run(self, stored: list[int], listed: list[int]) -> None:
+        """Links each stored set with the listed sets."""
+        if not stored or not listed:
+            return
+        self.listed = np.array(listed)
+        self.active = np.ones(len(listed), bool)
+        self.absorbed: int | None = None
+        both = set(listed) <= set(stored)
+        self._fill_lists()
+        listed_sizes = self.sizes[self.listed]
+        stack = [(node, np.zeros(len(listed), np.int64)) for node in self._tree(stored)]
+        while stack and self.active.any():
+            (source, first, end, children, members, rest, smallest), counts = stack.pop()
+            path = self.sets[source][first:end]
+            at = ranges(self.starts[path], self.lengths[path])
+            counts = counts + np.bincount(self.holders[at], minlength=len(counts))
+            if not (self.active & (counts + rest >= self._needed(listed_sizes, smallest))).any():
                 continue
-            for root in list(groups):
-                now = find(root)
-                if now != root:
-                    groups.setdefault(now, []).extend(groups.pop(root))
-            for root in list(groups):
-                if find(root) == find(x):
-                    continue
-                have = have or set(self.tokens[x])
-                if any(self._reaches(tree, x, at, have) for tree in groups[root]):
-                    self.joined.union(root, x)
-
-    def _reaches(self, tree: list, x: int, at: int, have: set[int]) -> bool:
-        """Whether the tree below x's token at this place holds a set that links with x."""
-        size, percent, rest = self.sizes[x], self.percent, len(self.tokens[x]) - at - 1
-        stack = [(tree, 1)]
-        while stack:
-            node, overlap = stack.pop()
-            # the smallest set that could link bounds what is needed from below
-            least = needed(size, -(-percent * size // 100), percent)
-            if overlap + min(rest, node[2] - node[1] + node[4]) < least:
+            for y in members:
+                hits = np.flatnonzero(self.active & (counts >= self._needed(listed_sizes, self.sizes[y])))
+                for x in self.listed[hits].tolist():
+                    self.joined.union(x, y)
+                if both and 2 * len(hits) > self.active.sum():
+                    self._take_off(y)
+            stack.extend((child, counts) for child in children)
+
+    def _needed(self, sizes: np.ndarray, size: int) -> np.ndarray:
+        return -(-self.percent * (sizes + size) // (100 + self.percent))
+
+    def _fill_lists(self) -> None:
+        """For each token the places of the active listed sets that hold it."""
+        on = np.flatnonzero(self.active)
+        token = np.concatenate([self.sets[i] for i in self.listed[on]]) if len(on) else np.zeros(0, np.int32)
+        holder = np.repeat(on, [len(self.sets[i]) for i in self.listed[on]])
+        order = np.argsort(token, kind="stable")
+        self.holders = holder[order]
+        self.lengths = np.bincount(token, minlength=self.n_tokens)
+        self.starts = segment_starts(self.lengths)
+
+    def _take_off(self, y: int) -> None:
+        """Takes the sets of y's component off the lists, if it is the one that was taken off before, or the first."""
+        root = self.joined.find(y)
+        if self.absorbed is not None and self.joined.find(self.absorbed) != root:
+            return
+        self.absorbed = y
+        for i in np.flatnonzero(self.active):
+            if self.joined.find(int(self.listed[i])) == root:
+                self.active[i] = False
+        self._fill_lists()
+
+    def _tree(self, stored: list[int]) -> list[tuple]:
+        """The children of the root: (a set with this path, first, end, children, sets that end here, longest rest below, smallest size)."""
+        order = sorted(stored, key=lambda i: self.sets[i].astype(">u4").tobytes())
+        root: list = [0, 0, 0, [], []]
+        path, before = [root], None
+        for i in order:
+            own = self.sets[i]
+            common = 0
+            if before is not None:
+                n = min(len(own), len(before))
+                apart = np.flatnonzero(own[:n] != before[:n])
+                common = int(apart[0]) if len(apart) else n
+            last = None
+            while path[-1][2] > common:
+                last = path.pop()
+            if path[-1][2] < common:
+                between = [last[0], last[1], common, [last], []]
+                path[-1][3][-1] = between
+                last[1] = common
+                path.append(between)
+            if path[-1][2] == len(own):
+                path[-1][4].append(i)
+            else:
+                leaf = [i, common, len(own), [], [i]]
+                path[-1][3].append(leaf)
+                path.append(leaf)
+            before = own
+        done: dict[int, tuple] = {}
+        todo = [(root, False)]
+        while todo:
+            node, ready = todo.pop()
+            if not ready:
+                todo.append((node, True))
+                todo.extend((child, False) for child in node[3])
                 continue
-            overlap += len(have.intersection(self.tokens[node[0]][node[1] : node[2]]))
-            for y in node[6]:
-                if overlap >= needed(size, self.sizes[y], percent):
-                    return True
-            for child in node[3].values():
-                if overlap + child[2] - child[1] + child[4] >= least:
-                    stack.append((child, overlap))
-        return False
+            children = [done.pop(id(child)) for child in node[3]]
+            rest = max((c[2] - c[1] + c[5] for c in children), default=0)
+            smallest = min([*(c[6] for c in children), *(int(self.sizes[i]) for i in node[4])], default=0)
+            done[id(node)] = (node[0], node[1], node[2], children, node[4], rest, smallest)
+        return done[id(root)][3]
 
 
 def _encode(k: int, shards: int):
@@ -366,17 +375,11 @@ def _join_groups(percent: int, outer_col: str | None = None):
                 seen: dict[int, int] = {}
                 for i, c in enumerate(known[mine].tolist()):
                     joined.union(seen.setdefault(c, i), i)
-            lists = [np.frombuffer(tokens[int(i)].as_py(), np.uint64).tolist() for i in mine]
-            tree = TreeJoin(size[mine].tolist(), lists, percent, joined)
+            tree = TreeJoin(size[mine], [np.frombuffer(tokens[int(i)].as_py(), np.uint64) for i in mine], percent, joined)
             if side is None:
-                tree.run(list(range(len(mine))))
+                tree.run(list(range(len(mine))), list(range(len(mine))))
             else:
-                inner = [i for i, s in enumerate(side[mine].tolist()) if s == 0]
-                outer = [i for i, s in enumerate(side[mine].tolist()) if s == 1]
-                for x in inner:
-                    tree.insert(x)
-                for x in outer:
-                    tree.probe(x)
+                tree.run(np.flatnonzero(side[mine] == 0).tolist(), np.flatnonzero(side[mine] == 1).tolist())
             names += name[mine].tolist()
             roots += name[mine[[joined.find(i) for i in range(len(mine))]]].tolist()
         return pa.table([pa.array(names, pa.int64()), pa.array(roots, pa.int64())], names=["name", "root"])
@@ -428,7 +431,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75, most_toke
     roots = small.groupBy("bin").applyInArrow(_join_groups(percent), "name long, root long")
     if large.limit(1).count():
         roots = roots.unionByName(_joined_in_blocks(placed.join(large.select("cluster"), "cluster"), percent, most_tokens))
-    linked = written(roots.where("name <> root").unionByName(roots.where("name <> root").select(F.col("root").alias("name"), "root").distinct()))
+    roots = written(roots)
+    linked = (roots.where("name <> root").unionByName(roots.where("name <> root").select(F.col("root").alias("name"), "root").distinct()))
     # names are hashes; the component is called by the smallest document
     least = linked.join(sets.select("name", "least"), "name").groupBy("root").agg(F.min("least").alias("component_id"))
     of = linked.join(least, "root").select("name", "component_id")
