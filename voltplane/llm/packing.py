@@ -54,13 +54,16 @@ def pack_group(sizes: list[int], lengths: list[int], overhead: float, attention:
     return place, offset, [lengths[bisect_left(lengths, u)] for u in used], used
 
 
-def pack_lengths(docs: DataFrame, lengths: tuple[int, ...] = (512, 1024, 2048, 4096), overhead: float = 64, attention: float = 1e-5, group_docs: int = 20_000, id_col: str = "doc_id", tokens_col: str = "n_tokens") -> DataFrame:
-    """One row a piece: doc_id, piece, start (token in the document), n_tokens, bin_id, bin_offset, bin_length, bin_used."""
+def pack_lengths(docs: DataFrame, lengths: tuple[int, ...] = (512, 1024, 2048, 4096), overhead: float = 64, attention: float = 1e-5, group_docs: int = 20_000, id_col: str = "doc_id", tokens_col: str = "n_tokens", n_docs: int | None = None) -> DataFrame:
+    """One row a piece: doc_id, piece, start (token in the document), n_tokens, bin_id, bin_offset, bin_length, bin_used.
+
+    n_docs: the number of documents where it is known; else they are counted, which reads them once more.
+    """
     if not lengths or min(lengths) < 1:
         raise ValueError("give at least one positive length")
     sized = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(tokens_col), F.lit(0)).cast("long").alias("n"))
     most, sorted_lengths = max(lengths), sorted(lengths)
-    groups = max(1, -(-docs.select(id_col).count() // group_docs))
+    groups = max(1, -(-(docs.select(id_col).count() if n_docs is None else n_docs) // group_docs))
     full = F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("n") / most), F.lit(1)).cast("int") - 1), lambda p: F.struct(p.cast("int").alias("piece"), (p.cast("long") * most).alias("start")))
     pieces = sized.select("doc_id", "n", F.explode(full).alias("p")).select("doc_id", "p.piece", "p.start", F.least(F.lit(most), F.col("n") - F.col("p.start")).cast("int").alias("n_tokens"))
     # a long document's pieces go to different groups, so that a group stays bounded
@@ -87,4 +90,4 @@ def pack_documents(docs: DataFrame, tokenizer: str, lengths: tuple[int, ...] = (
     from .token_counts import token_counts
 
     counted = token_counts(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), tokenizer).select("doc_id", "n_tokens")
-    return pack_lengths(counted, lengths, **how)
+    return pack_lengths(counted, lengths, n_docs=docs.select(id_col).count(), **how)

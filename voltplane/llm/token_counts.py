@@ -14,6 +14,7 @@ other columns stay, and columns named like the results are replaced.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -37,6 +38,12 @@ def split_pattern(spec: dict) -> str:
     return r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+#: The same cut for texts of Basic Latin to Latin Extended-B, where letters, digits and white space can be listed; the standard library cuts these faster.
+_L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾", " \t-\r\x85\xa0"
+LATIN = re.compile(rf" ?[{_L}]+| ?[{_N}]+|'(?:[stmd]|re|ve|ll)| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+").findall
+BEYOND_LATIN = re.compile("[^\x00-\u024f]").search
+
+
 class Lengths(dict):
     """Pre-token -> number of tokens: a worker's cache above the broadcast table."""
 
@@ -57,7 +64,7 @@ class Lengths(dict):
 class Counter2Tier:
     """Counts tokens with the tokenizer in a file; table: what packed_table() has made."""
 
-    def __init__(self, path: str, table: bytes = b"", cache_size: int = 1 << 19):
+    def __init__(self, path: str, table: bytes = b"", cache_size: int = 1 << 18):
         import regex
         from tokenizers import Tokenizer
 
@@ -70,9 +77,12 @@ class Counter2Tier:
             raise ValueError("added tokens that take blanks along can't be counted by pre-tokens")
         self.special = regex.compile("|".join(map(regex.escape, sorted(specials, key=len, reverse=True)))) if specials else None
         self.specials = specials
-        self.pieces = regex.compile(split_pattern(spec)).findall
+        self.by_pattern = regex.compile(split_pattern(spec)).findall
         self.lengths = Lengths(unpacked_table(table), lambda piece: len(tokenizer.encode(piece, add_special_tokens=False).ids), cache_size)
 
+    def pieces(self, text: str) -> list[str]:
+        return self.by_pattern(text) if BEYOND_LATIN(text) else LATIN(text)
+
     def count(self, text: str | None) -> int:
         if not text:
             return 0
@@ -103,11 +113,11 @@ def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text", sample_
         yield pa.RecordBatch.from_arrays([pa.array(top, pa.string()), pa.array([counter.lengths[p] for p in top], pa.int32())], names=["piece", "n"])
 
     schema = T.StructType([T.StructField("piece", T.StringType()), T.StructField("n", T.IntegerType())])
-    rows = docs.select(text_col).limit(sample_docs).coalesce(1).mapInArrow(count, schema).limit(table_size).collect()
+    rows = docs.select(text_col).limit(sample_docs).coalesce(1).mapInArrow(count, schema).collect()
     return packed_table({r.piece: r.n for r in rows})
 
 
-def token_counts(docs: DataFrame, path: str, limit: int = 512, text_col: str = "text", sample_docs: int = 2000, table_size: int = 1 << 16, cache_size: int = 1 << 19) -> DataFrame:
+def token_counts(docs: DataFrame, path: str, limit: int = 512, text_col: str = "text", sample_docs: int = 2000, table_size: int = 1 << 16, cache_size: int = 1 << 18) -> DataFrame:
     """The documents with n_bytes long, n_tokens long and over_limit boolean (n_tokens > limit). path: the tokenizer's file, on every executor."""
     docs = docs.drop("n_bytes", "n_tokens", "over_limit")
     table = docs.sparkSession.sparkContext.broadcast(frequent_lengths(docs, path, text_col, sample_docs, table_size))
