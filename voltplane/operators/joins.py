@@ -83,6 +83,7 @@ def nearest_interval(times: DataFrame, intervals: DataFrame, keys: list[str], t:
 
 def adjacency(pads: DataFrame, col: str = "col", row: str = "row", owner: str = "segment") -> DataFrame:
     """(segment, neighbour): owners of pads that share an edge."""
+    pads = pads.select(col, row, owner).distinct()
     side = pads.select(F.col(col).alias("_c"), F.col(row).alias("_r"), F.col(owner).alias("neighbour"))
     moved = pads.select(F.col(owner).alias("segment"), F.explode(F.array(*[F.struct((F.col(col) + dc).alias("_c"), (F.col(row) + dr).alias("_r")) for dc, dr in ((1, 0), (-1, 0), (0, 1), (0, -1))])).alias("_p"))
     moved = moved.select("segment", "_p._c", "_p._r")

@@ -11,14 +11,15 @@ from ..functions import text
 from ..operators import aggregate, joins, robust, signal, windows
 from .registry import query, rounded, table
 
-PADS_SQL = "pads AS (SELECT p_partkey % 45 AS c, p_partkey // 45 AS r, p_size, p_retailprice, (p_partkey % 45) // 5 * 4 + (p_partkey // 45) // 5 AS segment FROM part WHERE p_partkey < 900)"
-ADJACENT_SQL = "adj AS (SELECT DISTINCT a.segment, b.segment AS neighbour FROM pads a JOIN pads b ON a.segment <> b.segment AND ((a.c = b.c AND abs(a.r - b.r) = 1) OR (a.r = b.r AND abs(a.c - b.c) = 1)))"
+PADS_SQL = "pads AS (SELECT p_partkey % 45 AS c, p_partkey // 45 % 20 AS r, p_size, p_retailprice, (p_partkey % 45) // 5 * 4 + (p_partkey // 45 % 20) // 5 AS segment FROM part)"
+ADJACENT_SQL = "tile AS (SELECT DISTINCT c, r, segment FROM pads), adj AS (SELECT DISTINCT a.segment, b.segment AS neighbour FROM tile a JOIN tile b ON a.segment <> b.segment AND ((a.c = b.c AND abs(a.r - b.r) = 1) OR (a.r = b.r AND abs(a.c - b.c) = 1)))"
 DOUBLES_SQL = "x AS (SELECT vec_id, label, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS w FROM embeddings)"
 
 
 def pads(spark, d):
-    p = table(spark, d, "part").where("p_partkey < 900")
-    col, row = F.col("p_partkey") % 45, F.floor(F.col("p_partkey") / 45)
+    """Parts as measurements on the pads of a plate of 45 by 20, in 36 segments of 5 by 5."""
+    p = table(spark, d, "part")
+    col, row = F.col("p_partkey") % 45, F.floor(F.col("p_partkey") / 45) % 20
     return p.select(col.alias("col"), row.alias("row"), "p_size", "p_retailprice", (F.floor(col / 5) * 4 + F.floor(row / 5)).alias("segment"))
 
 
