@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: A-Z to a-z and every separator of `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+` to a blank, for UTF-8 bytes.
 ALNUM_TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -22,9 +23,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Above this an estimate is no estimate: a plan without statistics, or a product of two sides of a join.
+NO_ESTIMATE = 1 << 52
+
+
 def input_bytes(df: DataFrame) -> int:
-    """What the optimizer takes for the size of the frame's input; for files, their bytes. Runs no job."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """What the optimizer takes for the size of the frame's input; for files, their bytes, without a job. Without an estimate, the bytes are counted."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size < NO_ESTIMATE:
+        return size
+    widths = [F.coalesce(F.octet_length(c), F.lit(0)) if kind in ("string", "binary") else F.lit(8) for c, kind in df.dtypes]
+    return int(df.agg(F.coalesce(F.sum(sum(widths, F.lit(0)).cast("long")), F.lit(0))).first()[0])
 
 
 def pieces_for(df: DataFrame, piece_bytes: int, least: int = 1) -> int:

@@ -1,6 +1,6 @@
-"""Benchmark decontamination: a broadcast hash set of normalised test n-grams is held against every window of the training words.
+r"""Benchmark decontamination: a broadcast hash set of normalised test n-grams is held against every window of the training words.
 
-A word is a run of `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]` after A-Z became a-z. A window is `n` consecutive words of an item; an item with
+A word is a run of `[^\x00-\x2F\x3A-\x60\x7B-\x7F]` after A-Z became a-z. A window is `n` consecutive words of an item; an item with
 fewer words, but not none, is one window. Each document is read once in a map, whole, without a shuffle.
 
 The hash set grows with the benchmark, not with the corpus. Its size is checked: beyond `pass_bytes` of item text the items are dealt into
@@ -156,3 +156,18 @@ def report(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     n_hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda s, x: s + (x[1] - x[0]))
     return found.select(id_col, "n_words", n_hit.alias("n_hit"), F.size("hit_items").cast("long").alias("n_items"), digest.alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
+
+
+#: The rows of report() for DuckDB over `documents` and `benchmark`.
+SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+i AS (SELECT item_id, least(10, len(w)) AS k, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS p FROM b WHERE len(w) > 0),
+g AS (SELECT DISTINCT item_id, k, array_to_string(w[p:p + k - 1], ' ') AS t FROM i),
+c AS (SELECT doc_id, k, w, unnest(range(1, len(w) - k + 2)) AS p FROM d, (SELECT DISTINCT k FROM g) WHERE len(w) >= k),
+h AS (SELECT doc_id, item_id, p, c.k FROM c JOIN g ON g.k = c.k AND g.t = array_to_string(w[p:p + c.k - 1], ' ')),
+n AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, p + unnest(range(k)) AS q FROM h) GROUP BY doc_id),
+s AS (SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN s USING (doc_id)
+"""

@@ -34,6 +34,8 @@ MASK32, MASK60, MASK20 = (1 << 32) - 1, (1 << 60) - 1, (1 << 20) - 1
 #: Up to seven words without punctuation at their end, then any word.
 CLAUSE = r"(?:[^\s.,;:!?|]++[ \t]++){0,7}+\S++"
 BUCKET_BYTES = 4 << 20
+#: The bounds of the buckets are literals of the plan. Beyond BUCKET_BYTES times so many, buckets grow; the sort within one spills.
+MOST_BUCKETS = 2000
 
 
 def _long(value: int) -> Column:
@@ -107,7 +109,7 @@ def with_next(docs: DataFrame, values: list[str], id_col: str = "doc_id", text_c
     bucket before it as well, as a guest, so that each bucket is ordered alone.
     """
     ids = docs.select(F.coalesce(F.col(id_col), F.lit(-(1 << 63))).alias("i"))
-    n = pieces_for(docs, BUCKET_BYTES)
+    n = min(MOST_BUCKETS, pieces_for(docs, BUCKET_BYTES))
     low, cuts = ids.agg(F.min("i"), F.percentile_approx("i", [k / n for k in range(1, n)] or [0.5], max(10_000, 20 * n))).first()
     cuts = sorted({c for c in (cuts or []) if c > low}) if n > 1 and low is not None else []
     bucket, guest, key = (free_name(docs.columns, x) for x in ("bucket", "guest", "key"))

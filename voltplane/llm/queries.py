@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup
+from . import decontaminate, line_dedup, ngram_join
 from .common import read_table
 
 
@@ -91,4 +91,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_ngram_join": op10_ngram_join,
 }
 
-SQL: dict[str, str] = {"op1_line_dedup": line_dedup.SQL}
+SQL: dict[str, str] = {"op1_line_dedup": line_dedup.SQL, "op7_decontaminate": decontaminate.SQL, "op10_ngram_join": ngram_join.SQL}
