@@ -3,17 +3,18 @@
 1. A map hashes each whole text to its set of shingles. Documents of a batch with equal sets are one node, named by the smallest of them. The nodes'
    shingles go, packed, to shards by hash. A group of exact copies, however large, costs one node a batch.
 2. A shard counts in how many nodes a shingle is and drops those of a single node: they are in nobody's intersection, and the size of the set is
-   kept. The rest go back, packed, to buckets of nodes. The global order of shingles is by (document frequency, rarest first, then hash).
-3. A bucket orders each node's shingles. Only a node with a shared shingle among its first |x| - ceil(t |x|) + 1 can link. For each of these shingles
-   its nodes, ordered by size, are chained wherever two sizes in a row can reach the similarity; what a bucket chains goes on as one interval,
-   so a shingle in a third of all nodes is one record a bucket. The components of the chains are clusters: every link lies within one.
+   kept. The rest go back, packed, to their batches. The global order of shingles is by (document frequency, rarest first, then hash).
+3. A batch orders each node's shingles. Only a node with a shared shingle among its first |x| - ceil(t |x|) + 1 can link. For each of these shingles
+   its nodes, ordered by size, are chained wherever two sizes in a row can reach the similarity; what a task chains goes on as one interval,
+   so a shingle in a third of all nodes is one record a task. The components of the chains are clusters: every link lies within one.
 4. Clusters are joined by prefix tree (`TreeJoin`): the ordered sets are stored in a tree, traversed with the partial overlap that the sets of a
    subtree have in common, and subtrees are pruned by the overlap that their remaining length can still give. Nodes of a component that has
    taken in most of a cluster are not compared with each other again.
 5. A cluster of over `most_tokens` shingles is cut into blocks that are joined one by one, then in pairs, except pairs of blocks that lie in a single
    component by then; so a large group of near copies costs one pass and its stragglers. The components of all links are the result.
 
-Sizes of batches, shards and buckets are bounded, and their number follows the input. Links: 100 |x and y| >= percent |x or y|, in integers.
+Sizes of batches and shards are bounded, and their number follows the input. Batches are those of the input's partitions, so the input must be
+read the same way again if an executor is lost, as files are. Links: 100 |x and y| >= percent |x or y|, in integers.
 
 Defined results: a null, empty or wordless text has an empty set and links with nothing; a text of fewer words than `k` is one shingle of all
 its words; repeated rows are one node; rows with one doc_id but different texts are judged by their own texts; a null doc_id gets a null
@@ -36,11 +37,12 @@ from .shingles import WordHashes, set_key, shingle_set
 
 #: Stands for a null doc_id; larger than any other.
 NO_ID = np.iinfo(np.int64).max
-SHARD_BYTES, BUCKET_BYTES = 8 << 20, 8 << 20
+SHARD_BYTES = 8 << 20
+#: Below 2^16: nodes are numbered by two bytes within a batch.
 BATCH_DOCS = 4096
-ROWS = "kind int, shard long, bucket long, a binary, b binary, c binary, d binary, e binary"
-NAMES = ["kind", "shard", "bucket", "a", "b", "c", "d", "e"]
-DOCS, TOKENS = 0, 1
+ROWS = "kind int, shard long, batch long, a binary, b binary, c binary, d binary"
+NAMES = ["kind", "shard", "batch", "a", "b", "c", "d"]
+DOCS, TOKENS, NODES = 0, 1, 2
 
 
 class TreeJoin:
@@ -156,7 +158,7 @@ class TreeJoin:
 
 
 def _encode(k: int, shards: int):
-    """Batches of documents -> packed rows of documents, and of the shingles of their nodes by shard."""
+    """Batches of documents -> packed rows of their nodes and documents, and of the shingles of the nodes by shard."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -179,106 +181,112 @@ def _encode(k: int, shards: int):
                 keys = np.array([a ^ b for a, b in nodes], np.uint64)
                 # rows with one id but different texts are different nodes
                 names = mix(least.view(np.uint64) ^ keys, 3).view(np.int64)
-                yield _doc_rows(ids, names[of], np.where(sizes[of] > 0, least[of], ids), sizes[of], shards)
+                batch_key = int(mix(names.view(np.uint64), 4).sum(dtype=np.uint64).view(np.int64))
+                yield _node_rows(batch_key, ids, of, names, least, sizes, shards)
                 if sizes.sum():
-                    yield _token_rows(np.concatenate(sets), sizes, names, least, shards)
+                    yield _token_rows(batch_key, np.concatenate(sets), sizes, shards)
 
     return encode
 
 
-def _doc_rows(ids, names, least, sizes, shards) -> pa.RecordBatch:
-    """One row for all documents of a batch; the shard only passes it on."""
-    shard = int(mix(ids[:1].view(np.uint64), 9)[0] % np.uint64(shards)) if len(ids) else 0
-    return pa.RecordBatch.from_arrays([pa.array([DOCS], pa.int32()), pa.array([shard], pa.int64()), pa.array([0], pa.int64()), *(binary_column([pack(x)]) for x in (ids, names, least, sizes)), binary_column([b""])], names=NAMES)
+def _node_rows(batch_key, ids, of, names, least, sizes, shards) -> pa.RecordBatch:
+    """A row of the batch's documents and one of its nodes; the shard only passes them on."""
+    shard = batch_key % shards
+    documents = (ids, names[of], np.where(sizes[of] > 0, least[of], ids), sizes[of])
+    columns = [binary_column([pack(x), pack(y)]) for x, y in zip(documents, (names, least, sizes, sizes[:0]), strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array([DOCS, NODES], pa.int32()), pa.array([shard] * 2, pa.int64()), pa.array([batch_key] * 2, pa.int64()), *columns], names=NAMES)
 
 
-def _token_rows(tokens, sizes, names, least, shards) -> pa.RecordBatch:
-    """A row a shard: 40 bits of each token, how many of them each node has, and the nodes with their smallest id and size."""
+def _five(values: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8)[:, :5]
+
+
+def _from_five(data: bytes) -> np.ndarray:
+    five = np.frombuffer(data, np.uint8).reshape(-1, 5)
+    out = np.zeros((len(five), 8), np.uint8)
+    out[:, :5] = five
+    return out.view(np.uint64).ravel()
+
+
+def _token_rows(batch_key, tokens, sizes, shards) -> pa.RecordBatch:
+    """A row a shard: 40 bits of each token, and for each node of the batch that has any its number and how many they are."""
     node = np.repeat(np.arange(len(sizes)), sizes)
     shard = (tokens % np.uint64(shards)).astype(np.int64)
     order = np.argsort(shard, kind="stable")
-    shard, node, high = shard[order], node[order], (tokens[order] >> np.uint64(24))
+    shard, node, packed = shard[order], node[order], _five(tokens[order] >> np.uint64(24))
     cut = np.append(np.flatnonzero(np.append(True, shard[1:] != shard[:-1])), len(shard))
-    packed = high.view(np.uint8).reshape(-1, 8)[:, :5]
-    out = [[] for _ in range(6)]
+    out: list[list] = [[] for _ in range(4)]
     for a, b in zip(cut[:-1], cut[1:], strict=True):
-        mine = node[a:b]
-        first = np.flatnonzero(np.append(True, mine[1:] != mine[:-1]))
-        who = mine[first]
-        for column, x in zip(out, (int(shard[a]), packed[a:b], np.diff(np.append(first, b - a)).astype(np.int32), names[who], least[who], sizes[who].astype(np.int32)), strict=True):
-            column.append(x if isinstance(x, int) else pack(x))
+        who, runs = _runs(node[a:b])
+        for column, x in zip(out, (int(shard[a]), pack(packed[a:b]), pack(who.astype(np.uint16)), pack(runs.astype(np.int32))), strict=True):
+            column.append(x)
     n = len(out[0])
-    return pa.RecordBatch.from_arrays([pa.array([TOKENS] * n, pa.int32()), pa.array(out[0], pa.int64()), pa.array([0] * n, pa.int64()), *map(binary_column, out[1:])], names=NAMES)
-
-
-def _count(buckets: int, shards: int):
-    """All rows of a shard -> the tokens of two nodes at least, with a code of their frequency, by bucket of nodes; rows of documents pass."""
-
-    def count(table: pa.Table) -> pa.Table:
-        kinds = table.column("kind").to_numpy()
-        passed = table.filter(pa.array(kinds == DOCS))
-        mine = table.filter(pa.array(kinds == TOKENS))
-        if not mine.num_rows:
-            return passed
-        raw = [x for x in mine.column("a").to_pylist()]
-        shard = mine.column("shard")[0].as_py()
-        five = np.frombuffer(b"".join(raw), np.uint8).reshape(-1, 5)
-        high = np.zeros((len(five), 8), np.uint8)
-        high[:, :5] = five
-        token = high.view(np.uint64).ravel()
-        runs, name, least, size = (np.frombuffer(b"".join(mine.column(c).to_pylist()), t) for c, t in (("b", np.int32), ("c", np.int64), ("d", np.int64), ("e", np.int32)))
-        node = np.repeat(np.arange(len(runs)), runs)
-        order = np.lexsort((name[node], token))
-        token, node = token[order], node[order]
-        first = np.append(True, token[1:] != token[:-1])
-        # a node's row may come from two batches: the same text twice
-        fresh = first | np.append(True, name[node[1:]] != name[node[:-1]])
-        group = np.cumsum(first) - 1
-        often = np.bincount(group[fresh])
-        keep = fresh & (often[group] >= 2)
-        token, node = token[keep], node[keep]
-        code = np.minimum(255, np.floor(8 * np.log2(often[group[keep]]))).astype(np.uint8)
-        full = token * np.uint64(shards) + np.uint64(shard)
-        bucket = (name[node].view(np.uint64) % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((node, bucket))
-        full, code, node, bucket = full[order], code[order], node[order], bucket[order]
-        cut = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket)) if len(bucket) else np.zeros(1, np.int64)
-        out = [[] for _ in range(6)]
-        for a, b in zip(cut[:-1], cut[1:], strict=True):
-            start = np.flatnonzero(np.append(True, node[a + 1 : b] != node[a : b - 1]))
-            who = node[a:b][start]
-            runs_out = np.diff(np.append(start, b - a)).astype(np.int32)
-            head = np.stack((name[who], least[who], size[who].astype(np.int64), runs_out.astype(np.int64)), axis=1)
-            for column, x in zip(out, (int(bucket[a]), pack(full[a:b]), pack(code[a:b]), pack(head), b"", b""), strict=True):
-                column.append(x)
-        n = len(out[0])
-        mine = pa.table([pa.array([TOKENS] * n, pa.int32()), pa.array([shard] * n, pa.int64()), pa.array(out[0], pa.int64()), *map(binary_column, out[1:])], names=NAMES)
-        return pa.concat_tables([passed.cast(mine.schema), mine])
-
-    return count
+    return pa.RecordBatch.from_arrays([pa.array([TOKENS] * n, pa.int32()), pa.array(out[0], pa.int64()), pa.array([batch_key] * n, pa.int64()), *map(binary_column, out[1:]), binary_column([b""] * n)], names=NAMES)
+
+
+def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of the runs of equal values, and their lengths."""
+    start = np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, np.int64)
+    return values[start], np.diff(np.append(start, len(values)))
+
+
+def _count(table: pa.Table) -> pa.Table:
+    """All rows of a shard -> the tokens of two nodes at least, with a code of their frequency, by batch; rows of nodes and documents pass."""
+    kinds = table.column("kind").to_numpy()
+    passed = table.filter(pa.array(kinds != TOKENS))
+    mine = table.filter(pa.array(kinds == TOKENS))
+    if not mine.num_rows:
+        return passed
+    shard, keys = mine.column("shard")[0].as_py(), mine.column("batch").to_pylist()
+    token = _from_five(b"".join(mine.column("a").to_pylist()))
+    numbers, runs = ([np.frombuffer(x, t) for x in mine.column(c).to_pylist()] for c, t in (("b", np.uint16), ("c", np.int32)))
+    row = np.repeat(np.arange(len(runs)), [int(r.sum()) for r in runs])
+    node = np.repeat(np.concatenate(numbers), np.concatenate(runs))
+    order = np.argsort(token, kind="stable")
+    sorted_token = token[order]
+    group = np.cumsum(np.append(False, sorted_token[1:] != sorted_token[:-1]))
+    often = np.bincount(group)[group]
+    code = np.zeros(len(token), np.uint8)
+    code[order] = np.where(often >= 2, np.minimum(255, np.floor(8 * np.log2(often))), 0)
+    keep = code > 0
+    token, node, row, code = token[keep], node[keep], row[keep], code[keep]
+    cut = np.append(np.flatnonzero(np.append(True, row[1:] != row[:-1])), len(row)) if len(row) else np.zeros(1, np.int64)
+    out: list[list] = [[] for _ in range(5)]
+    for a, b in zip(cut[:-1], cut[1:], strict=True):
+        who, lengths = _runs(node[a:b])
+        for column, x in zip(out, (keys[row[a]], pack(_five(token[a:b])), pack(code[a:b]), pack(who), pack(lengths.astype(np.int32))), strict=True):
+            column.append(x)
+    n = len(out[0])
+    mine = pa.table([pa.array([TOKENS] * n, pa.int32()), pa.array([shard] * n, pa.int64()), pa.array(out[0], pa.int64()), *map(binary_column, out[1:])], names=NAMES)
+    return pa.concat_tables([passed.cast(mine.schema), mine])
 
 
 SETS = "name long, least long, size int, n_first int, tokens binary"
 
 
-def _sets(percent: int):
-    """All rows of a bucket -> the nodes that can link, with their shared tokens in global order (as 64-bit ranks: code above, token below)."""
+def _sets(percent: int, shards: int):
+    """All rows of a batch -> the nodes that can link, with their shared tokens in global order (as 64-bit ranks: code above, token below)."""
 
     def build(table: pa.Table) -> pa.Table:
-        join = lambda c, t: np.frombuffer(b"".join(table.column(c).to_pylist()), t)
-        token, code, head = join("a", np.uint64), join("b", np.uint8), join("c", np.int64).reshape(-1, 4)
-        row = np.repeat(np.arange(len(head)), head[:, 3])
-        name = head[row, 0]
-        order = np.lexsort((token, code, name))
-        token, code, name, row = token[order], code[order], name[order], row[order]
-        start = np.flatnonzero(np.append(True, name[1:] != name[:-1])) if len(name) else np.zeros(0, np.int64)
-        length = np.diff(np.append(start, len(name)))
-        least, size = head[row[start], 1], head[row[start], 2]
+        kinds = table.column("kind").to_numpy()
+        known, mine = table.filter(pa.array(kinds == NODES)), table.filter(pa.array(kinds == TOKENS))
+        # rows of a batch that came twice are the same rows
+        names, least, sizes = (np.frombuffer(known.column(c)[0].as_py(), np.int64) for c in "abc")
+        join = lambda c, t: np.frombuffer(b"".join(mine.column(c).to_pylist()), t)
+        token, code, node = _from_five(b"".join(mine.column("a").to_pylist())), join("b", np.uint8), np.repeat(join("c", np.uint16), join("d", np.int32))
+        shard = np.repeat(mine.column("shard").to_numpy(), [len(x) for x in mine.column("b").to_pylist()]).astype(np.uint64)
+        rank = (code.astype(np.uint64) << np.uint64(56)) | ((token * np.uint64(shards) + shard) & np.uint64((1 << 56) - 1))
+        order = np.lexsort((rank, node))
+        rank, node = rank[order], node[order]
+        fresh = np.append(True, (rank[1:] != rank[:-1]) | (node[1:] != node[:-1])) if len(rank) else np.zeros(0, bool)
+        rank, node = rank[fresh], node[fresh]
+        who, length = _runs(node)
+        start, size = segment_starts(length) if len(length) else length, sizes[who]
         n_first = size - -(-percent * size // 100) + 1 - (size - length)
         keep = n_first > 0
-        rank = (code.astype(np.uint64) << np.uint64(56)) | (token & np.uint64((1 << 56) - 1))
         tokens = [pack(rank[s : s + n]) for s, n in zip(start[keep], length[keep], strict=True)]
-        return pa.table([pa.array(name[start][keep], pa.int64()), pa.array(least[keep], pa.int64()), pa.array(size[keep].astype(np.int32)), pa.array(np.minimum(n_first, length)[keep].astype(np.int32)), binary_column(tokens)], names=["name", "least", "size", "n_first", "tokens"])
+        who = who[keep]
+        return pa.table([pa.array(names[who]), pa.array(least[who]), pa.array(sizes[who].astype(np.int32)), pa.array(np.minimum(n_first, length)[keep].astype(np.int32)), binary_column(tokens)], names=["name", "least", "size", "n_first", "tokens"])
 
     return build
 
@@ -417,22 +425,27 @@ def _joined_in_blocks(sets: DataFrame, percent: int, most_tokens: int) -> DataFr
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75, most_tokens: int = 2_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row: the size of its set and the smallest doc_id that it reaches by links."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    shards, buckets = pieces_for(docs, SHARD_BYTES, 8), pieces_for(docs, BUCKET_BYTES, 8)
+    shards = pieces_for(docs, SHARD_BYTES, 8)
     rows = texts.mapInArrow(_encode(k, shards), ROWS)
-    counted = written(rows.groupBy("shard").applyInArrow(_count(buckets, shards), ROWS))
-    sets = written(counted.where(F.col("kind") == TOKENS).groupBy("bucket").applyInArrow(_sets(percent), SETS))
+    counted = written(rows.groupBy("shard").applyInArrow(_count, ROWS))
+    sets = written(counted.where(F.col("kind") != DOCS).groupBy("batch").applyInArrow(_sets(percent, shards), SETS))
     chained = sets.mapInArrow(_local_chains(percent, shards), CHAINED).groupBy("shard").applyInArrow(_shard_links(percent), "a long, b long")
-    clusters = components(chained)
-    placed = sets.join(clusters.select(F.col("node").alias("name"), F.col("component").alias("cluster")), "name").withColumn("n", (F.octet_length("tokens") / 8).cast("long"))
-    placed = written(placed)
-    weight = placed.groupBy("cluster").agg(F.sum("n").alias("weight"))
-    large = weight.where(F.col("weight") > most_tokens)
-    small = placed.join(large, "cluster", "left_anti").withColumn("bin", F.pmod(F.xxhash64("cluster"), F.lit(8 * buckets)))
-    roots = small.groupBy("bin").applyInArrow(_join_groups(percent), "name long, root long")
-    if large.limit(1).count():
-        roots = roots.unionByName(_joined_in_blocks(placed.join(large.select("cluster"), "cluster"), percent, most_tokens))
+    clusters = components(chained).select(F.col("node").alias("name"), F.col("component").alias("cluster"))
+    n_tokens = (F.octet_length("tokens") / 8).cast("long").alias("n")
+    weight = sets.select("name", n_tokens).join(clusters, "name").groupBy("cluster").agg(F.sum("n").alias("weight"))
+    large = written(weight.where(F.col("weight") > most_tokens).select("cluster"))
+    placed = small = sets.join(clusters, "name").withColumn("n", (F.octet_length("tokens") / 8).cast("long"))
+    some_large = large.limit(1).count() > 0
+    if some_large:
+        placed = written(placed)
+        small = placed.join(large, "cluster", "left_anti")
+    roots = small.withColumn("bin", F.pmod(F.xxhash64("cluster"), F.lit(8 * shards))).groupBy("bin").applyInArrow(_join_groups(percent), "name long, root long")
+    if some_large:
+        roots = roots.unionByName(_joined_in_blocks(placed.join(large, "cluster"), percent, most_tokens))
     roots = written(roots)
-    linked = (roots.where("name <> root").unionByName(roots.where("name <> root").select(F.col("root").alias("name"), "root").distinct()))
+    # a text that is in two batches under one id comes twice
+    pairs = roots.where("name <> root").distinct()
+    linked = pairs.unionByName(pairs.select(F.col("root").alias("name"), "root").distinct())
     # names are hashes; the component is called by the smallest document
     least = linked.join(sets.select("name", "least"), "name").groupBy("root").agg(F.min("least").alias("component_id"))
     of = linked.join(least, "root").select("name", "component_id")
@@ -444,3 +457,17 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75, most_toke
     rows = counted.where(F.col("kind") == DOCS).select("a", "b", "c", "d").mapInArrow(documents, "id long, name long, least long, n_shingles long")
     out = rows.join(of, "name", "left").select("id", "n_shingles", F.coalesce("component_id", "least").alias("component_id"))
     return out.select(F.nullif("id", F.lit(NO_ID)).alias("doc_id"), "n_shingles", F.nullif("component_id", F.lit(NO_ID)).alias("component_id"))
+
+
+#: The rows of jaccard_components() with 5 words and 75 percent, for DuckDB over `documents`.
+SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 5, 0) + 2)) AS p FROM d WHERE len(w) > 0),
+s AS (SELECT DISTINCT doc_id, hash(array_to_string(w[p:p + 4], ' ')) AS t FROM g),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+x AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM x JOIN n u ON u.doc_id = a JOIN n v ON v.doc_id = b WHERE 100 * c >= 75 * (u.n + v.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(doc_id, other) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.other)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, (SELECT min(other) FROM r WHERE r.doc_id = d.doc_id) AS component_id FROM d LEFT JOIN n USING (doc_id)
+"""
