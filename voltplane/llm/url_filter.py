@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 MOST_RULES = 1000
 #: The rules of the query (verdict, host and path prefix).
 RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
@@ -53,7 +55,7 @@ def templates(urls: DataFrame, levels: int = 4, many: int = 20, rare: float = 0.
     """(host, shape, template) for urls (host, shape, known, bad): shape is the path with segments that hold digits generalised."""
     tree = urls.groupBy("host", "shape").agg(F.count(F.lit(1)).alias("n"), F.sum("known").alias("known"), F.sum("bad").alias("bad"))
     parts = F.split(F.col("shape"), "/", levels + 1)
-    tree = tree.withColumn("parts", parts).withColumn("template", F.lit(""))
+    tree = written(tree.withColumn("parts", parts).withColumn("template", F.lit("")))
     for level in range(1, levels + 1):
         segment = F.get("parts", level)
         node = ["host", "template", "segment"]
@@ -72,7 +74,9 @@ def templates(urls: DataFrame, levels: int = 4, many: int = 20, rare: float = 0.
             .otherwise(F.col("segment"))
         )
         decided = children.join(parents, ["host", "template"]).select(*node, general.alias("general"))
-        tree = tree.join(decided, node, "left").withColumn("template", F.when(F.col("segment").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), "general"))).drop("segment", "general")
+        grown = F.when(F.col("segment").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), "general"))
+        # a level reads the tree twice, so each is written: the plan stays that of one level
+        tree = written(tree.join(decided, node, "left").withColumn("template", grown).drop("segment", "general"))
     return tree.select("host", "shape", "template", "n", "known", "bad")
 
 
