@@ -183,3 +183,36 @@ def test_repeated_spans(spark, monkeypatch, batch):
     for s in shared[1:]:
         assert any(" ".join(s) in " ".join(w) for w in kept.values()) == any(" ".join(s) in " ".join(w) for w in split.values())
     assert suffix_dedup.repeated_spans(docs.limit(0), n, gram).count() == 0
+
+
+def brute_repeats(rows, n):
+    """(document, word) of each word in n words in a row that another document holds too; and of those that a smaller one holds."""
+    held = defaultdict(set)
+    for i, t in rows:
+        w = t.split()
+        for p in range(len(w) - n + 1):
+            held[tuple(w[p : p + n])].add(i)
+    found, smaller = set(), set()
+    for i, t in rows:
+        w = t.split()
+        for p in range(len(w) - n + 1):
+            have = held[tuple(w[p : p + n])]
+            found |= {(i, q) for q in range(p, p + n) if len(have) > 1}
+            smaller |= {(i, q) for q in range(p, p + n) if min(have) < i}
+    return found, smaller
+
+
+def spanned(found):
+    return {(r.doc_id, q) for r in found for q in range(r.first_word, r.first_word + r.n_words)}
+
+
+@pytest.mark.parametrize("batch", [1024, 1])
+def test_repeats_within_a_document_and_across_batches(spark, monkeypatch, batch):
+    monkeypatch.setattr(suffix_dedup, "BATCH_DOCS", batch)
+    rnd = random.Random(7)
+    prose = lambda k: [f"v{rnd.randrange(10**6)}" for _ in range(k)]
+    passage, period = prose(60), prose(7)
+    texts = [(1, prose(5) + passage + prose(9) + passage + prose(4)), (2, prose(30) + passage), (3, period * 40), (4, period * 40), (5, prose(25) * 2)]
+    rows = [(i, " ".join(w)) for i, w in texts]
+    found = suffix_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), 12, 8).collect()
+    assert spanned(found) == brute_repeats(rows, 12)[0]

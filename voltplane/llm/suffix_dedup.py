@@ -5,8 +5,8 @@ that start at a minimiser: a word whose `gram`-word hash is the least of `n - gr
 the text around them, so two copies of a passage of `n` words keep the same suffix.
 
 1. A map reads each whole text and sends each kept suffix to the shard of its first `gram` words, with the words on both sides as far as
-   a passage of `n` words can reach, two bytes a word. Suffixes of a batch that are equal on both sides match each other on the spot; one of them goes on. So
-   a passage in a third of all documents is one record a batch, with the places of the others already settled.
+   a passage of `n` words can reach, two bytes a word. Suffixes of a batch that are equal on both sides match each other on the spot if they are of two documents; one
+   record goes on, with all places of the smallest document. So a passage in a third of all documents is one record a batch, with the places of the others already settled.
 2. A shard sorts its suffixes, compares each with its neighbours of other documents, and extends the match right and left. It sorts twice, by the words
    to the right and by the words to the left, as the longest match on either side stands next to a suffix. Matches of at least `n` words are kept.
 3. The matches of a document are put together; what overlaps is one span. Documents are dealt to tasks by hash; a document's spans are bounded by its length.
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ALNUM_TABLE, binary_column, free_name, pack, pieces_for, utf8
+from .common import ALNUM_TABLE, binary_column, free_name, pack, pieces_for, ranges, segment_starts, utf8
 from .decontaminate import without_spans
 from .perfect_hash import mix
 from .shingles import WordHashes, windows, word_hashes
@@ -36,8 +36,9 @@ from .shingles import WordHashes, windows, word_hashes
 SHARD_BYTES = 8 << 20
 BATCH_DOCS = 1024
 SUFFIXES, MATCHES = 0, 1
-ROWS = "kind int, shard long, hash binary, doc binary, at binary, sides binary"
-NAMES = ["kind", "shard", "hash", "doc", "at", "sides"]
+#: A row packs a shard's records of a batch. more: (record, place) of the places of a record's document after the first.
+ROWS = "kind int, shard long, hash binary, doc binary, at binary, sides binary, more binary"
+NAMES = ["kind", "shard", "hash", "doc", "at", "sides", "more"]
 FOUND = "doc long, first int, end int, other long"
 
 
@@ -139,22 +140,37 @@ def _rows(doc, hash_, at, sides, side, gram, shards) -> pa.RecordBatch:
     other = np.where(d == low[group[again]], high[group[again]], low[group[again]])
     reach = (sides[who] != 0).astype(np.int32)
     found = (d, at[who] - reach[:, :side].sum(axis=1, dtype=np.int32), at[who] + gram + reach[:, side:].sum(axis=1, dtype=np.int32), other)
-    keep = np.sort(order[start])
+    keep = order[start]
     shard = (mix(hash_[keep], 5) % np.uint64(shards)).astype(np.int64)
-    by = np.argsort(shard, kind="stable")
+    by = np.lexsort((keep, shard))
     keep, shard = keep[by], shard[by]
     cut = np.append(np.flatnonzero(np.append(True, shard[1:] != shard[:-1])), len(shard))
+    # the other places of the smallest document of each group, by the record that its first place has become
+    record = np.empty(len(by), np.int64)
+    record[by] = np.arange(len(by))
+    extra = np.flatnonzero((doc[order] == low[group]) & np.append(False, ~changed))
+    extra = extra[np.argsort(record[group[extra]], kind="stable")]
+    of, place = record[group[extra]], at[order[extra]]
+    bounds = np.searchsorted(of, cut)
     rows = [[] for _ in NAMES]
-    for a, b in zip(cut[:-1], cut[1:], strict=True):
+    for a, b, e, f in zip(cut[:-1], cut[1:], bounds[:-1], bounds[1:], strict=True):
         mine = keep[a:b]
-        for column, x in zip(rows, (SUFFIXES, int(shard[a]), pack(hash_[mine]), pack(doc[mine]), pack(at[mine]), pack(sides[mine])), strict=True):
+        more = np.column_stack(((of[e:f] - a).astype(np.int32), place[e:f]))
+        for column, x in zip(rows, (SUFFIXES, int(shard[a]), pack(hash_[mine]), pack(doc[mine]), pack(at[mine]), pack(sides[mine]), pack(more)), strict=True):
             column.append(x)
     if len(again):
-        for column, x in zip(rows, (MATCHES, int(shard[0]), pack(found[0]), pack(found[1].astype(np.int32)), pack(found[2].astype(np.int32)), pack(found[3])), strict=True):
+        for column, x in zip(rows, (MATCHES, int(shard[0]), pack(found[0]), pack(found[1].astype(np.int32)), pack(found[2].astype(np.int32)), pack(found[3]), b""), strict=True):
             column.append(x)
     return pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.int64()), *map(binary_column, rows[2:])], names=NAMES)
 
 
+def _numbered(table: pa.Table, column: str, dtype) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs (record, value) of a column of pairs, with the records numbered over all rows of the table."""
+    rows = [np.frombuffer(x, dtype).reshape(-1, 2) for x in table.column(column).to_pylist()]
+    first = segment_starts(np.array([len(x) // 8 for x in table.column("hash").to_pylist()], np.int64))
+    return np.concatenate([r[:, 0] + f for r, f in zip(rows, first, strict=True)]).astype(np.int64), np.concatenate([r[:, 1] for r in rows])
+
+
 def _match(n: int, gram: int):
     side = n - gram
 
@@ -167,13 +183,21 @@ def _match(n: int, gram: int):
         h = hash_[order]
         twice = np.append(h[1:] == h[:-1], False) | np.append(False, h[1:] == h[:-1]) if len(h) else np.zeros(0, bool)
         mine = order[twice]
-        hash_, doc, at, sides = hash_[mine], doc[mine], at[mine], sides[mine]
         if len(mine):
+            of, place = _numbered(table.filter(pa.array(kinds == SUFFIXES)), "more", np.int32)
+            of, place = np.concatenate((np.arange(len(at)), of)), np.concatenate((at, place))
+            place = place[np.argsort(of, kind="stable")]
+            count = np.bincount(of, minlength=len(at))
+            start, count = segment_starts(count)[mine], count[mine]
+            hash_, doc, sides = hash_[mine], doc[mine], sides[mine]
             for a, b, left, right in neighbours(hash_, doc, sides, side):
                 long = left + right >= side
                 a, b, left, right = a[long], b[long], left[long].astype(np.int32), right[long].astype(np.int32)
                 for x, y in ((a, b), (b, a)):
-                    out.append((doc[x], at[x] - left, at[x] + gram + right, doc[y]))
+                    # every place of the record has the match
+                    each = np.repeat(np.arange(len(x)), count[x])
+                    where = place[ranges(start[x], count[x])]
+                    out.append((doc[x][each], where - left[each], where + gram + right[each], doc[y][each]))
         return pa.table([pa.array(np.concatenate([o[i] for o in out])) for i in range(4)], names=["doc", "first", "end", "other"])
 
     return match
