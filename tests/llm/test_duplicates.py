@@ -216,3 +216,18 @@ def test_repeats_within_a_document_and_across_batches(spark, monkeypatch, batch)
     rows = [(i, " ".join(w)) for i, w in texts]
     found = suffix_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), 12, 8).collect()
     assert spanned(found) == brute_repeats(rows, 12)[0]
+
+
+def test_repeats_between_edited_copies(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "BATCH_DOCS", 1)
+    rnd = random.Random(11)
+    prose = lambda k: [f"v{rnd.randrange(10**6)}" for _ in range(k)]
+    base = prose(120)
+    rows = []
+    for i in range(60):
+        w = list(base)
+        for at in rnd.sample(range(len(w)), rnd.randint(2, 12)):
+            w[at] = prose(1)[0]
+        rows.append((i, " ".join(w)))
+    found = suffix_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), 24, 12).collect()
+    assert spanned(found) == brute_repeats(rows, 24)[0]

@@ -7,8 +7,8 @@ the text around them, so two copies of a passage of `n` words keep the same suff
 1. A map reads each whole text and sends each kept suffix to the shard of its first `gram` words, with the words on both sides as far as
    a passage of `n` words can reach, two bytes a word. Suffixes of a batch that are equal on both sides match each other on the spot if they are of two documents; one
    record goes on, with all places of the smallest document. So a passage in a third of all documents is one record a batch, with the places of the others already settled.
-2. A shard sorts its suffixes, compares each with its neighbours of other documents, and extends the match right and left. It sorts twice, by the words
-   to the right and by the words to the left, as the longest match on either side stands next to a suffix. Matches of at least `n` words are kept.
+2. A shard groups its suffixes by each of the `n - gram + 1` windows of `n` words that hold the gram, so each window meets all others that are
+   equal to it, whatever stands around them. A place gets the words of its windows that a smaller document holds, and of those that only larger ones hold.
 3. The matches of a document are put together; what overlaps is one span. Documents are dealt to tasks by hash; a document's spans are bounded by its length.
 
 A passage that is repeated within one document only is no finding. Results name the smallest partner that was met as `other_doc_id`; the
@@ -28,18 +28,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ALNUM_TABLE, binary_column, free_name, pack, pieces_for, ranges, segment_starts, utf8
+from .common import ALNUM_TABLE, binary_column, free_name, pack, pieces_for, segment_starts, utf8
 from .decontaminate import without_spans
 from .perfect_hash import mix
-from .shingles import WordHashes, windows, word_hashes
+from .shingles import _FACTOR, WordHashes, windows, word_hashes
 
 SHARD_BYTES = 8 << 20
 BATCH_DOCS = 1024
 SUFFIXES, MATCHES = 0, 1
-#: A row packs a shard's records of a batch. more: (record, place) of the places of a record's document after the first.
-ROWS = "kind int, shard long, hash binary, doc binary, at binary, sides binary, more binary"
-NAMES = ["kind", "shard", "hash", "doc", "at", "sides", "more"]
+#: A row packs a shard's records of a batch. more: (record, place) of the places of a record's document after the first; pair: (record, next document with its sides).
+ROWS = "kind int, shard long, hash binary, doc binary, at binary, sides binary, more binary, pair binary"
+NAMES = ["kind", "shard", "hash", "doc", "at", "sides", "more", "pair"]
 FOUND = "doc long, first int, end int, other long"
+#: A wide number for each two-byte word.
+_WORDS = mix(np.arange(1 << 16, dtype=np.uint64), 9)
 
 
 def _slide(values: np.ndarray, width: int, pick) -> np.ndarray:
@@ -85,28 +87,60 @@ def _as_keys(sides: np.ndarray) -> list[np.ndarray]:
     return [keys[:, i] for i in range(keys.shape[1])]
 
 
-def _extents(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """How many words in a row, from the first, two arrays of rows have in common; 0 is no word."""
-    return np.cumprod((a == b) & (a != 0), axis=1, dtype=np.int8).sum(axis=1)
+def held_elsewhere(hash_: np.ndarray, doc: np.ndarray, following: np.ndarray, sides: np.ndarray, side: int):
+    """Per record: (first, last, other) of its windows that a smaller document holds, and of those that only larger ones hold.
+
+    A window is numbered by its words left of the gram; without any, last is -1. other is the smallest document of a window but the record's own.
+    following is the next larger document with the same sides, or the record's own document if there is none.
+    """
+    none = np.iinfo(np.int64).max
+    paired = following != doc
+    after = np.where(paired, following, none)
+    out = [(np.full(len(doc), side + 1, np.int32), np.full(len(doc), -1, np.int32), np.full(len(doc), none)) for _ in range(2)]
+    top = np.uint64(pow(int(_FACTOR), side - 1, 1 << 64))
+    rolled = np.zeros(len(doc), np.uint64)
+    for i in range(side):
+        rolled = rolled * _FACTOR + _WORDS[sides[:, i]]
+    for start in range(side + 1):
+        if start:
+            rolled = (rolled - _WORDS[sides[:, start - 1]] * top) * _FACTOR + _WORDS[sides[:, start + side - 1]]
+        # 0 is no word
+        whole = np.flatnonzero((sides[:, start] != 0) & (sides[:, start + side - 1] != 0))
+        if not len(whole):
+            continue
+        key = mix(rolled[whole] ^ mix(hash_[whole], 7), 11)
+        order = np.argsort(key)
+        who, key = whole[order], key[order]
+        fresh = np.append(True, key[1:] != key[:-1])
+        cut, group = np.flatnonzero(fresh), np.cumsum(fresh) - 1
+        mine = doc[who]
+        least = np.minimum.reduceat(mine, cut)[group]
+        smallest = mine == least
+        shared = np.logical_or.reduceat(~smallest | paired[who], cut)[group]
+        second = np.minimum.reduceat(np.where(smallest, after[who], mine), cut)[group]
+        for (first, last, other), which, partner in zip(out, (~smallest, smallest & shared), (least, second), strict=True):
+            x = who[which]
+            first[x], last[x], other[x] = np.minimum(first[x], side - start), np.maximum(last[x], side - start), np.minimum(other[x], partner[which])
+    return out
+
 
+def joined(doc, first, end, other) -> tuple[np.ndarray, ...]:
+    """Spans put together where they touch or overlap, with the least partner; those with a smaller and with a larger partner apart."""
+    larger = other > doc
+    order = np.lexsort((first, larger, doc))
+    doc, first, end, other, larger = doc[order], first[order].astype(np.int64), end[order].astype(np.int64), other[order], larger[order]
+    return _put_together(doc, first, end, other, (doc[1:] != doc[:-1]) | (larger[1:] != larger[:-1]))
 
-def neighbours(hash_: np.ndarray, doc: np.ndarray, sides: np.ndarray, side: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(i, j, left, right): neighbours of different documents in both orders, and how far they match on both sides."""
-    left, right = sides[:, :side][:, ::-1], sides[:, side:]
-    for keys in (_as_keys(right), _as_keys(left)):
-        order = np.lexsort((doc, *keys[::-1], hash_))
-        # the next suffix of another document: the first after the run of this document's own
-        h, d = hash_[order], doc[order]
-        starts = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (d[1:] != d[:-1])))
-        run = np.cumsum(np.append(False, (h[1:] != h[:-1]) | (d[1:] != d[:-1])))
-        following = np.append(starts[1:], len(order))[run]
-        last = np.append(starts[1:], len(order))[run] - 1
-        for i, j in ((np.arange(len(order)), following), (np.arange(len(order)), starts[run] - 1), (last, following)):
-            fits = (j >= 0) & (j < len(order))
-            a, b = order[i[fits]], order[j[fits]]
-            same = hash_[a] == hash_[b]
-            a, b = a[same], b[same]
-            yield a, b, _extents(left[a], left[b]), _extents(right[a], right[b])
+
+def _put_together(doc, first, end, other, changed) -> tuple[np.ndarray, ...]:
+    if not len(doc):
+        return doc, first.astype(np.int32), end.astype(np.int32), other
+    fresh = np.append(True, changed)
+    group = np.cumsum(fresh) - 1
+    reach = np.maximum.accumulate((group << 32) | end) & 0xFFFFFFFF
+    fresh[1:] |= first[1:] > reach[:-1]
+    start = np.flatnonzero(fresh)
+    return doc[start], first[start].astype(np.int32), np.maximum.reduceat(end, start).astype(np.int32), np.minimum.reduceat(other, start)
 
 
 def _encode(n: int, gram: int, shards: int):
@@ -133,13 +167,14 @@ def _rows(doc, hash_, at, sides, side, gram, shards) -> pa.RecordBatch:
         changed |= k[order][1:] != k[order][:-1]
     start = np.flatnonzero(np.append(True, changed))
     group = np.cumsum(np.append(False, changed))
-    low, high = doc[order][start], doc[order][np.append(start[1:], len(order)) - 1]
-    # equal on both sides, in two documents: the larger ones name the smallest, the smallest names the largest
-    again = np.flatnonzero((low != high)[group])
-    who, d = order[again], doc[order[again]]
-    other = np.where(d == low[group[again]], high[group[again]], low[group[again]])
+    low = doc[order][start]
+    # equal on both sides, in two documents: the larger ones name the smallest, which goes on
+    again = np.flatnonzero(doc[order] != low[group])
+    who = order[again]
     reach = (sides[who] != 0).astype(np.int32)
-    found = (d, at[who] - reach[:, :side].sum(axis=1, dtype=np.int32), at[who] + gram + reach[:, side:].sum(axis=1, dtype=np.int32), other)
+    found = joined(doc[who], at[who] - reach[:, :side].sum(axis=1, dtype=np.int32), at[who] + gram + reach[:, side:].sum(axis=1, dtype=np.int32), low[group[again]])
+    following = low.copy()
+    following[group[again][::-1]] = doc[who][::-1]
     keep = order[start]
     shard = (mix(hash_[keep], 5) % np.uint64(shards)).astype(np.int64)
     by = np.lexsort((keep, shard))
@@ -152,14 +187,18 @@ def _rows(doc, hash_, at, sides, side, gram, shards) -> pa.RecordBatch:
     extra = extra[np.argsort(record[group[extra]], kind="stable")]
     of, place = record[group[extra]], at[order[extra]]
     bounds = np.searchsorted(of, cut)
+    following = following[by]
+    pairs = np.flatnonzero(following != doc[keep])
+    pair_bounds = np.searchsorted(pairs, cut)
     rows = [[] for _ in NAMES]
-    for a, b, e, f in zip(cut[:-1], cut[1:], bounds[:-1], bounds[1:], strict=True):
+    for a, b, e, f, g, h in zip(cut[:-1], cut[1:], bounds[:-1], bounds[1:], pair_bounds[:-1], pair_bounds[1:], strict=True):
         mine = keep[a:b]
         more = np.column_stack(((of[e:f] - a).astype(np.int32), place[e:f]))
-        for column, x in zip(rows, (SUFFIXES, int(shard[a]), pack(hash_[mine]), pack(doc[mine]), pack(at[mine]), pack(sides[mine]), pack(more)), strict=True):
+        pair = np.column_stack((pairs[g:h] - a, following[pairs[g:h]]))
+        for column, x in zip(rows, (SUFFIXES, int(shard[a]), pack(hash_[mine]), pack(doc[mine]), pack(at[mine]), pack(sides[mine]), pack(more), pack(pair)), strict=True):
             column.append(x)
     if len(again):
-        for column, x in zip(rows, (MATCHES, int(shard[0]), pack(found[0]), pack(found[1].astype(np.int32)), pack(found[2].astype(np.int32)), pack(found[3]), b""), strict=True):
+        for column, x in zip(rows, (MATCHES, int(shard[0]), *map(pack, found), b"", b""), strict=True):
             column.append(x)
     return pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.int64()), *map(binary_column, rows[2:])], names=NAMES)
 
@@ -179,42 +218,35 @@ def _match(n: int, gram: int):
         join = lambda kind, c, t: np.frombuffer(b"".join(table.column(c).filter(pa.array(kinds == kind)).to_pylist()), t)
         out = [(join(MATCHES, "hash", np.int64), join(MATCHES, "doc", np.int32), join(MATCHES, "at", np.int32), join(MATCHES, "sides", np.int64))]
         hash_, doc, at, sides = join(SUFFIXES, "hash", np.uint64), join(SUFFIXES, "doc", np.int64), join(SUFFIXES, "at", np.int32), join(SUFFIXES, "sides", np.uint16).reshape(-1, 2 * side)
-        order = np.argsort(hash_, kind="stable")
-        h = hash_[order]
-        twice = np.append(h[1:] == h[:-1], False) | np.append(False, h[1:] == h[:-1]) if len(h) else np.zeros(0, bool)
-        mine = order[twice]
-        if len(mine):
-            of, place = _numbered(table.filter(pa.array(kinds == SUFFIXES)), "more", np.int32)
+        if len(doc):
+            records = table.filter(pa.array(kinds == SUFFIXES))
+            of, larger = _numbered(records, "pair", np.int64)
+            following = doc.copy()
+            following[of] = larger
+            of, place = _numbered(records, "more", np.int32)
             of, place = np.concatenate((np.arange(len(at)), of)), np.concatenate((at, place))
-            place = place[np.argsort(of, kind="stable")]
-            count = np.bincount(of, minlength=len(at))
-            start, count = segment_starts(count)[mine], count[mine]
-            hash_, doc, sides = hash_[mine], doc[mine], sides[mine]
-            for a, b, left, right in neighbours(hash_, doc, sides, side):
-                long = left + right >= side
-                a, b, left, right = a[long], b[long], left[long].astype(np.int32), right[long].astype(np.int32)
-                for x, y in ((a, b), (b, a)):
-                    # every place of the record has the match
-                    each = np.repeat(np.arange(len(x)), count[x])
-                    where = place[ranges(start[x], count[x])]
-                    out.append((doc[x][each], where - left[each], where + gram + right[each], doc[y][each]))
-        return pa.table([pa.array(np.concatenate([o[i] for o in out])) for i in range(4)], names=["doc", "first", "end", "other"])
+            order = np.argsort(hash_)
+            fresh = np.append(True, hash_[order][1:] != hash_[order][:-1])
+            cut, group = np.flatnonzero(fresh), np.cumsum(fresh) - 1
+            mine = order[(np.minimum.reduceat(doc[order], cut) != np.maximum.reduceat(following[order], cut))[group]]
+            number = np.full(len(doc), -1)
+            number[mine] = np.arange(len(mine))
+            of, place = number[of], place[number[of] >= 0]
+            of = of[of >= 0]
+            for first, last, other in held_elsewhere(hash_[mine], doc[mine], following[mine], sides[mine], side):
+                has = last[of] >= 0
+                x, where = of[has], place[has]
+                out.append((doc[mine][x], where - last[x], where - first[x] + n, other[x]))
+        return pa.table([pa.array(x) for x in joined(*(np.concatenate([o[i] for o in out]) for i in range(4)))], names=["doc", "first", "end", "other"])
 
     return match
 
 
 def _merge(table: pa.Table) -> pa.Table:
     doc, first, end, other = (table.column(c).to_numpy() for c in ("doc", "first", "end", "other"))
-    order = np.lexsort((end, first, doc))
+    order = np.lexsort((first, doc))
     doc, first, end, other = doc[order], first[order].astype(np.int64), end[order].astype(np.int64), other[order]
-    fresh = np.append(True, doc[1:] != doc[:-1])
-    group = np.cumsum(fresh) - 1
-    reach = np.maximum.accumulate((group << 32) | end) & 0xFFFFFFFF
-    fresh[1:] |= first[1:] > reach[:-1]
-    start = np.flatnonzero(fresh)
-    return pa.table(
-        [pa.array(doc[start]), pa.array(first[start].astype(np.int32)), pa.array(np.maximum.reduceat(end, start).astype(np.int32)), pa.array(np.minimum.reduceat(other, start))], names=["doc", "first", "end", "other"]
-    )
+    return pa.table([pa.array(x) for x in _put_together(doc, first, end, other, doc[1:] != doc[:-1])], names=["doc", "first", "end", "other"])
 
 
 def repeated_spans(docs: DataFrame, n: int = 50, gram: int = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
