@@ -231,3 +231,20 @@ def test_repeats_between_edited_copies(spark, monkeypatch):
         rows.append((i, " ".join(w)))
     found = suffix_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), 24, 12).collect()
     assert spanned(found) == brute_repeats(rows, 24)[0]
+
+
+@pytest.mark.parametrize("batch", [1024, 1])
+def test_without_repeats_leaves_each_window_in_its_smallest_document(spark, monkeypatch, batch):
+    monkeypatch.setattr(suffix_dedup, "BATCH_DOCS", batch)
+    rnd = random.Random(13)
+    prose = lambda k: [f"v{rnd.randrange(10**6)}" for _ in range(k)]
+    n, one, two, short = 12, prose(30), prose(30), prose(14)
+    texts = [(3, prose(5) + one), (5, one + two), (9, two + prose(4)), *((i, prose(6) + short + prose(6)) for i in range(20, 40))]
+    rows = [(i, " ".join(w)) for i, w in texts]
+    left = dict(suffix_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), n, 8).collect())
+    smaller = brute_repeats(rows, n)[1]
+    assert {i: (t or "").split() for i, t in left.items()} == {i: [x for q, x in enumerate(w) if (i, q) not in smaller] for i, w in texts}
+    windows = lambda w: {tuple(w[p : p + n]) for p in range(len(w) - n + 1)}
+    for passage, smallest in ((one, 3), (two, 5), (short, 20)):
+        for window in windows(passage):
+            assert [i for i, t in left.items() if window in windows((t or "").split())] == [smallest]

@@ -11,8 +11,10 @@ the text around them, so two copies of a passage of `n` words keep the same suff
    equal to it, whatever stands around them. A place gets the words of its windows that a smaller document holds, and of those that only larger ones hold.
 3. The matches of a document are put together; what overlaps is one span. Documents are dealt to tasks by hash; a document's spans are bounded by its length.
 
-A passage that is repeated within one document only is no finding. Results name the smallest partner that was met as `other_doc_id`; the
-smallest document of a group has larger partners only, so cutting the spans with a smaller partner leaves a copy of each passage.
+A passage that is repeated within one document only is no finding. Results name the smallest partner that was met as `other_doc_id`, one for
+a whole span. `without_repeats` doesn't cut by spans: it cuts the words of those windows that a smaller document holds. Followed from one smaller
+holder to the next, each word that is cut is left in some document; a window is left in its smallest holder, unless it overlaps there
+with another window that a still smaller document holds.
 
 Defined results: null and empty texts and texts below `n` words have no findings; rows with the same doc_id count as one document, and so don't
 match each other; a null doc_id has no findings; other columns are not returned by `repeated_spans` and stay in `without_repeats`.
@@ -249,21 +251,30 @@ def _merge(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(x) for x in _put_together(doc, first, end, other, doc[1:] != doc[:-1])], names=["doc", "first", "end", "other"])
 
 
-def repeated_spans(docs: DataFrame, n: int = 50, gram: int = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, first_word, n_words, other_doc_id): a row for each span of a document that repeats in another document."""
+def _found(docs: DataFrame, n: int, gram: int, id_col: str, text_col: str) -> tuple[DataFrame, int]:
+    """Words of documents that repeat in a smaller document or in larger ones only, not yet put together; and the number of shards."""
     if not 0 < gram < n:
         raise ValueError("gram lies between 0 and n")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     shards = pieces_for(docs, SHARD_BYTES, 8)
     rows = texts.mapInArrow(_encode(n, gram, shards), ROWS)
-    found = rows.groupBy("shard").applyInArrow(_match(n, gram), FOUND)
+    return rows.groupBy("shard").applyInArrow(_match(n, gram), FOUND), shards
+
+
+def _spans(found: DataFrame, shards: int) -> DataFrame:
     merged = found.withColumn("bucket", F.pmod(F.xxhash64("doc"), F.lit(8 * shards))).groupBy("bucket").applyInArrow(_merge, FOUND)
     return merged.select(F.col("doc").alias("doc_id"), F.col("first").alias("first_word"), (F.col("end") - F.col("first")).alias("n_words"), F.col("other").alias("other_doc_id"))
 
 
+def repeated_spans(docs: DataFrame, n: int = 50, gram: int = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, first_word, n_words, other_doc_id): a row for each span of a document that repeats in another document."""
+    return _spans(*_found(docs, n, gram, id_col, text_col))
+
+
 def without_repeats(docs: DataFrame, n: int = 50, gram: int = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without the spans that a document with a smaller id holds too; columns stay as they are."""
-    spans = repeated_spans(docs, n, gram, id_col, text_col).where(F.col("other_doc_id") < F.col("doc_id"))
+    """The documents without the words of windows that a document with a smaller id holds too; columns stay as they are."""
+    found, shards = _found(docs, n, gram, id_col, text_col)
+    spans = _spans(found.where(F.col("other") < F.col("doc")), shards)
     spans_col, key = free_name(docs.columns, "spans"), free_name(docs.columns, "span_key")
     by_doc = spans.groupBy(F.col("doc_id").alias(key)).agg(F.array_sort(F.collect_list(F.array("first_word", F.col("first_word") + F.col("n_words")))).alias(spans_col))
     cut = F.udf(lambda text, s: without_spans(text, s), T.StringType())
