@@ -218,3 +218,15 @@ def test_url_filter(spark):
     learned = url_filter.judged(pages, rules=tuple(("block", f"h.com/en/{i}") for i in range(1, 10)))
     assert {r.verdict for r in learned.collect() if r.host == "h.com" and r.path.startswith("/en/")} == {"block"}
     assert url_filter.judged(pages.limit(0)).count() == 0
+
+
+def test_url_filter_judges_branches_without_labels(spark):
+    """h0 has one bad branch, h2 three and a good one, h3 three: only the last rejects what no rule fits."""
+    bad = {"h0.com": "a", "h1.com": "", "h2.com": "abc", "h3.com": "abc"}
+    rules = (*(("block", f"{h}/{b}/") for h, bs in bad.items() for b in bs), ("allow", "h2.com/d/"))
+    urls = [f"http://{h}/{b}/x{i}" for h in bad for b in "abcde" for i in range(6)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {(r.host, r.path[1], r.verdict, r.purity) for r in url_filter.judged(pages, rules=rules).collect() if r.rule is None}
+    free = {(h, b) for h in bad for b in "abcde" if b not in bad[h] and (h, b) != ("h2.com", "d")}
+    purity = {"h0.com": 1.5 / 3, "h1.com": 0.25, "h2.com": 3.5 / 6, "h3.com": 3.5 / 5}
+    assert got == {(h, b, "block" if h == "h3.com" else "allow", purity[h]) for h, b in free}

@@ -7,7 +7,9 @@ all urls is still spread over many tasks; no host is collected.
 2. At each level, a segment is generalised to `*` if it is one of many (at least `many` siblings, and under `rare` of its parent's urls).
 3. Branches that are statistically alike are merged: those with labels on them and on their siblings whose shares of bad urls don't differ
    by `z` standard errors go into `*`, and siblings without any label go into `~`.
-4. A template is rejected if its smoothed purity, (bad + weight * prior) / (labelled + weight), reaches `reject`.
+4. A template is rejected if its smoothed purity, (bad + weight * prior) / (labelled + weight), reaches `reject`. One without labels is judged
+   by those of its nearest ancestor that has any: each labelled branch below that counts once, by its share of bad urls. Pages of one branch
+   say little about another, so it takes three bad branches and no good one to reject what has no label.
 
 The labels are the verdicts of the rules. Segments below `levels` are taken as one. Rules are a short list that is compiled into the plan.
 
@@ -80,6 +82,20 @@ def templates(urls: DataFrame, levels: int = 4, many: int = 20, rare: float = 0.
     return tree.select("host", "shape", "template", "n", "known", "bad")
 
 
+def borrowed(placed: DataFrame, levels: int) -> DataFrame:
+    """(host, template, branches, share) of templates without labels: the labelled branches of the nearest ancestor, and the sum of their shares of bad urls."""
+    cut = placed.withColumn("parts", F.split("template", "/", levels + 1)).where(F.size("parts") > 1)
+    each = cut.withColumn("depth", F.explode(F.sequence(F.lit(1), F.size("parts") - 1)))
+    each = each.withColumn("parent", F.array_join(F.slice("parts", F.lit(1), F.col("depth")), "/"))
+    # branches by the shape, not the template: those that were merged into one are still several witnesses
+    branch = F.get(F.split("shape", "/", levels + 1), F.col("depth")).alias("branch")
+    branches = each.where(F.col("known") > 0).groupBy("host", "parent", branch).agg(F.sum("known").alias("known"), F.sum("bad").alias("bad"))
+    branches = branches.groupBy("host", "parent").agg(F.count(F.lit(1)).alias("branches"), F.sum(F.col("bad") / F.col("known")).alias("share"))
+    wanting = each.groupBy("host", "template", "parent", "depth").agg(F.sum("known").alias("known")).where(F.col("known") == 0)
+    nearest = wanting.join(branches, ["host", "parent"]).groupBy("host", "template").agg(F.max_by(F.struct("branches", "share"), "depth").alias("near"))
+    return nearest.select("host", "template", "near.branches", "near.share")
+
+
 def judged(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, weight: float = 2.0, prior: float = 0.25, reject: float = 0.7, id_col: str = "page_id", url_col: str = "url", **how) -> DataFrame:
     """Per page: page_id, host, path, rule, verdict (allow or block), template and purity."""
     host, path = host_and_path(F.col(url_col))
@@ -89,7 +105,9 @@ def judged(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, weight:
     urls = urls.withColumn("rule", rule).withColumn("by_rule", verdict).withColumn("shape", shape)
     known = urls.select("host", "shape", F.col("by_rule").isNotNull().cast("long").alias("known"), F.coalesce((F.col("by_rule") == "block"), F.lit(False)).cast("long").alias("bad"))
     placed = templates(known, **how)
-    purity = placed.groupBy("host", "template").agg(F.sum("known").alias("known"), F.sum("bad").alias("bad")).select("host", "template", ((F.col("bad") + weight * prior) / (F.col("known") + weight)).alias("purity"))
+    nodes = placed.groupBy("host", "template").agg(F.sum("known").alias("known"), F.sum("bad").alias("bad")).join(borrowed(placed, how.get("levels", 4)), ["host", "template"], "left")
+    smoothed = lambda bad, known: (F.coalesce(bad, F.lit(0)) + weight * prior) / (F.coalesce(known, F.lit(0)) + weight)
+    purity = nodes.select("host", "template", F.when(F.col("known") > 0, smoothed(F.col("bad"), F.col("known"))).otherwise(smoothed(F.col("share"), F.col("branches"))).alias("purity"))
     shapes = placed.select("host", "shape", "template").join(purity, ["host", "template"])
     out = urls.join(shapes, ["host", "shape"], "left")
     method = F.when(F.col("purity") >= reject, F.lit("block")).otherwise(F.lit("allow"))
