@@ -248,3 +248,13 @@ def test_without_repeats_leaves_each_window_in_its_smallest_document(spark, monk
     for passage, smallest in ((one, 3), (two, 5), (short, 20)):
         for window in windows(passage):
             assert [i for i, t in left.items() if window in windows((t or "").split())] == [smallest]
+
+
+def test_batches_of_the_same_documents_in_another_order(spark, monkeypatch):
+    rnd = random.Random(17)
+    texts = [" ".join(f"v{rnd.randrange(10**6)}" for _ in range(30)) for _ in range(12)]
+    rows = list(enumerate([*texts, texts[0] + " more", texts[5] + " more"]))
+    monkeypatch.setattr(ngram_join, "BATCH_DOCS", len(rows))
+    docs = spark.createDataFrame(rows + rows[::-1], "doc_id long, text string").coalesce(1)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(docs).collect()), key=str)
+    assert got == brute_jaccard(rows + rows)

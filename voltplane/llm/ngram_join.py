@@ -181,7 +181,8 @@ def _encode(k: int, shards: int):
                 keys = np.array([a ^ b for a, b in nodes], np.uint64)
                 # rows with one id but different texts are different nodes
                 names = mix(least.view(np.uint64) ^ keys, 3).view(np.int64)
-                batch_key = int(mix(names.view(np.uint64), 4).sum(dtype=np.uint64).view(np.int64))
+                # nodes are numbered by their place in the batch: the same nodes in another order are another batch
+                batch_key = int(mix(names.view(np.uint64) ^ mix(np.arange(len(names)), 6), 4).sum(dtype=np.uint64).view(np.int64))
                 yield _node_rows(batch_key, ids, of, names, least, sizes, shards)
                 if sizes.sum():
                     yield _token_rows(batch_key, np.concatenate(sets), sizes, shards)
