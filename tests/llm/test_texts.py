@@ -230,3 +230,10 @@ def test_url_filter_judges_branches_without_labels(spark):
     free = {(h, b) for h in bad for b in "abcde" if b not in bad[h] and (h, b) != ("h2.com", "d")}
     purity = {"h0.com": 1.5 / 3, "h1.com": 0.25, "h2.com": 3.5 / 6, "h3.com": 3.5 / 5}
     assert got == {(h, b, "block" if h == "h3.com" else "allow", purity[h]) for h, b in free}
+
+
+def test_frequent_lengths_come_from_the_whole_table(spark):
+    rows = [(i, "alpha alpha" if i < 150 else "gamma gamma") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    table = token_counts.unpacked_table(token_counts.frequent_lengths(docs, tokenizer_path(), sample_docs=60))
+    assert any("alpha" in p for p in table) and any("gamma" in p for p in table)

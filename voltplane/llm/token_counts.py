@@ -4,7 +4,7 @@ A text is cut at the tokenizer's special strings and then into pre-tokens by its
 them. Two tiers look a pre-token up: first a broadcast compact table of the lengths, in tokens, of frequent pre-tokens; then a cache of the
 worker, which the tokenizer itself fills on a miss. Both tiers only save time: the counts are those of the tokenizer.
 
-The frequent pre-tokens are those of a bounded sample (`sample_docs` documents, `table_size` entries), so the broadcast has a fixed
+The frequent pre-tokens are those of a sample of the whole table (about `sample_docs` documents, `table_size` entries), so the broadcast has a fixed
 bound; the cache of a worker is emptied at `cache_size` entries.
 
 Defined results: a null text counts as empty, with 0 bytes and 0 tokens; texts are never cut short; repeated rows are counted one by one;
@@ -102,7 +102,7 @@ def unpacked_table(table: bytes) -> dict[str, int]:
 
 
 def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text", sample_docs: int = 2000, table_size: int = 1 << 16) -> bytes:
-    """The packed lengths of the most frequent pre-tokens of a bounded sample of the documents."""
+    """The packed lengths of the most frequent pre-tokens of about sample_docs documents from all over the table."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter, seen = Counter2Tier(path), Counter()
@@ -113,7 +113,9 @@ def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text", sample_
         yield pa.RecordBatch.from_arrays([pa.array(top, pa.string()), pa.array([counter.lengths[p] for p in top], pa.int32())], names=["piece", "n"])
 
     schema = T.StructType([T.StructField("piece", T.StringType()), T.StructField("n", T.IntegerType())])
-    rows = docs.select(text_col).limit(sample_docs).coalesce(1).mapInArrow(count, schema).collect()
+    # drawn from all partitions, as the first rows may be of one source; only the sample goes to the one task
+    share = min(1.0, sample_docs / max(1, docs.count()))
+    rows = docs.select(text_col).sample(share, seed=1).repartition(1).mapInArrow(count, schema).collect()
     return packed_table({r.piece: r.n for r in rows})
 
 
