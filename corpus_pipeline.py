@@ -10,7 +10,8 @@ Every stage takes (spark, docs, sf_dir). All but the last return the columns of
 5. packing: the token counts of the texts are packed into sequences.
 
 Where a cut changed a text, n_chars is set anew. Null and empty texts pass through, unless the machine rejects them. Rows that share a doc_id
-are one document and stay or go together; a document without an id is nobody's duplicate.
+are judged one by one, each by its own text, but the third stage takes them as one document that stays or goes as a whole; rows without an id
+are nobody's duplicate and stay there. Packing gives every row its own place. Columns beyond those of documents pass through.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltplane.llm import decontaminate, line_dedup, ngram_join, packing, quality
-from voltplane.llm.common import read_table, written
+from voltplane.llm.common import dropped, read_table, written
 from voltplane.llm.queries import tokenizer_path
 
 
@@ -43,14 +44,13 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = ngram_join.jaccard_components(docs)
     gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    # rows without an id meet no key, so they needn't gather in one task
+    named = docs.where(F.col("doc_id").isNotNull()).join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return named.unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.hits(docs, read_table(spark, sf_dir, "benchmark"))
-    cut = F.udf(lambda text, spans: decontaminate.without_spans(text, spans), "string")
-    hit = F.size("hit_spans") > 0
-    return _cut(docs, found.withColumn("text", F.when(hit, cut("text", "hit_spans")).otherwise(F.col("text"))), hit)
+    return _cut(docs, decontaminate.hits(docs, read_table(spark, sf_dir, "benchmark"), cut=True), F.size("hit_spans") > 0)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,7 +71,9 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; what a stage returns is written to the shared folder before the next reads it."""
-    docs = read_table(spark, sf_dir, "documents")
+    docs, before = read_table(spark, sf_dir, "documents"), []
     for _, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir))
+        dropped(*before)
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,11 +53,78 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/voltplane/{uuid.uuid4().hex}"
 
 
+def _folder(spark: SparkSession, path: str):
+    """The file system and the path of a folder."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
 def written(df: DataFrame) -> DataFrame:
-    """The frame, written to the shared folder and read again: it cuts the lineage and survives lost executors."""
-    path = scratch_dir(df.sparkSession)
+    """The frame, written to the shared folder and read again: it cuts the lineage and survives lost executors.
+
+    The folder goes when the application ends; `dropped` takes it away before.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark)
+    files, at = _folder(spark, path)
+    files.deleteOnExit(at)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def dropped(*frames: DataFrame) -> None:
+    """Deletes the folders of frames that `written` has returned. Nothing may read them any more."""
+    for df in frames:
+        files, at = _folder(df.sparkSession, df._scratch)
+        files.delete(at, True)
+
+
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Gives what a task's arrays took back to the system: Spark keeps the Python worker, with all it holds, for other tasks."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
+def slices(batch: pa.RecordBatch, text_col: str, rows: int = 1024, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch: each of at most so many rows, and of at most so many bytes of text or of one row."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < batch.num_rows:
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, min(first + rows, int(np.searchsorted(ends, before + size, "right"))))
+        yield batch.slice(first, last - first)
+        first = last
+
+
+def in_parts(make: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]], text_col: str, rows: int = 1024, size: int = 1 << 20):
+    """A function for mapInArrow: make() is called once a task, what it returns once for each of the slices of the batches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        apply = make()
+        for batch in batches:
+            for part in slices(batch, text_col, rows, size):
+                yield from apply(part)
+        del apply
+        release()
+
+    return run
+
+
+def in_groups(apply: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """The function for applyInArrow, with what it took given back after each group."""
+
+    def run(table: pa.Table) -> pa.Table:
+        out = apply(table)
+        release()
+        return out
+
+    return run
 
 
 def free_name(df_columns: list[str], name: str) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import dropped, written
 
 
 class UnionFind:
@@ -32,7 +32,7 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) for edges (a, b) of longs: the smallest node reachable, for every node of an edge.
 
     Large stars and small stars in turn: each turn hooks the larger neighbours of every node to its smallest neighbour, then the smaller
-    ones. The edges become stars in about log(nodes) turns. Each turn is written to the shared folder; nothing is collected but a count.
+    ones. The edges become stars in about log(nodes) turns. Each turn is written to the shared folder, and the one before it deleted; nothing is collected but a count.
     """
     edges = written(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     known = _signature(edges)
@@ -46,6 +46,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(small_min, "a")
         turned = small.where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(small_min.select("a", F.col("m").alias("b"))).where(F.col("a") != F.col("b")).distinct()
         after = written(turned)
+        dropped(edges)
         before, known, edges = known, _signature(after), after
         if known == before:
             break

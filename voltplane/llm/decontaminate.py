@@ -3,8 +3,9 @@ r"""Benchmark decontamination: a broadcast hash set of normalised test n-grams i
 A word is a run of `[^\x00-\x2F\x3A-\x60\x7B-\x7F]` after A-Z became a-z. A window is `n` consecutive words of an item; an item with
 fewer words, but not none, is one window. Each document is read once in a map, whole, without a shuffle.
 
-The hash set grows with the benchmark, not with the corpus. Its size is checked: beyond `pass_bytes` of item text the items are dealt into
-passes of that size each, and the hits of the passes are put together by document.
+The hash set grows with the benchmark, not with the corpus. Its size is checked: a worker's copy takes about 21 bytes a byte of item text, so
+beyond `pass_bytes` of it the items are dealt into passes of that size each. What a pass has found is written with its documents before the next
+begins, and its hash set is released, so that a worker holds one at a time. Documents are taken in parts of bounded size.
 
 Defined results: a null or empty text has no words and no hits; a null, empty or wordless item has no windows; equal items all count;
 repeated documents are judged one by one; other columns stay, and columns named like the results are replaced.
@@ -13,7 +14,7 @@ repeated documents are judged one by one; other columns stay, and columns named
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ALNUM_TABLE, cut_at_blanks, utf8
+from .common import ALNUM_TABLE, cut_at_blanks, dropped, in_parts, utf8, written
 
 SPANS = T.ArrayType(T.ArrayType(T.IntegerType()))
 _WORD = re.compile(rb"[^ ]+")
@@ -54,7 +55,7 @@ class WindowIndex:
         parts = [np.array([get(w, 0) for w in part.split()], np.int32) for part in cut_at_blanks(data)]
         ids = parts[0] if len(parts) == 1 else np.concatenate(parts)
         known = np.concatenate(([0], np.cumsum(ids > 0)))
-        spans: list[tuple[int, int]] = []
+        spans: list[list[int]] = []
         found: set[int] = set()
         for k, table in self.windows.items():
             if len(ids) < k:
@@ -62,15 +63,9 @@ class WindowIndex:
             for p in np.flatnonzero(known[k:] - known[:-k] == k).tolist():
                 held = table.get(ids[p : p + k].tobytes())
                 if held:
-                    spans.append((p, p + k))
+                    spans.append([p, p + k])
                     found.update(held)
-        merged: list[list[int]] = []
-        for a, b in sorted(spans):
-            if merged and a <= merged[-1][1]:
-                merged[-1][1] = max(merged[-1][1], b)
-            else:
-                merged.append([a, b])
-        return len(ids), merged, [self.items[i] for i in found]
+        return len(ids), _merge(spans), sorted({self.items[i] for i in found})
 
 
 def without_spans(text: str | None, spans: list[list[int]] | None) -> str | None:
@@ -86,44 +81,58 @@ def without_spans(text: str | None, spans: list[list[int]] | None) -> str | None
     return b"".join([*out, data[last:]]).decode("utf-8", "surrogatepass")
 
 
-def _passes(items: DataFrame, item_col: str, text_col: str, pass_bytes: int) -> Iterator[list[tuple[int, str | None]]]:
+def _passes(items: DataFrame, item_col: str, text_col: str, pass_bytes: int) -> Iterator[tuple[bool, list[tuple[int, str | None]]]]:
+    """The items, some at a time, and whether they are the last."""
     items = items.select(F.col(item_col).alias("i"), F.col(text_col).alias("t"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
     n = max(1, -(-total // pass_bytes))
     for p in range(n):
         part = items if n == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == p)
-        yield [(r.i, r.t) for r in part.collect()]
+        yield p == n - 1, [(r.i, r.t) for r in part.collect()]
 
 
-def hits(docs: DataFrame, items: DataFrame, n: int = 10, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", pass_bytes: int = 16 << 20) -> DataFrame:
+def hits(docs: DataFrame, items: DataFrame, n: int = 10, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", pass_bytes: int = 4 << 20, cut: bool = False) -> DataFrame:
     """The documents with n_words long, hit_spans array<array<int>> ([first, end) in words) and hit_items array<long>.
 
-    pass_bytes bounds the item text that is collected and broadcast at a time.
+    pass_bytes bounds the item text that is collected and broadcast at a time. cut: the hit words are taken out of the texts.
     """
-    spark = docs.sparkSession
     docs = docs.drop("n_words", "hit_spans", "hit_items")
-    for rows in _passes(items, item_col, item_text_col, pass_bytes):
-        docs = _scan(docs, spark.sparkContext.broadcast(WindowIndex(rows, n)), text_col)
+    before = None
+    for last, rows in _passes(items, item_col, item_text_col, pass_bytes):
+        index = docs.sparkSession.sparkContext.broadcast(WindowIndex(rows, n))
+        docs = _scan(docs, index, text_col, cut and last)
+        if not last:
+            docs = written(docs)
+            index.destroy()
+            if before is not None:
+                dropped(before)
+            before = docs
     return docs
 
 
-def _scan(docs: DataFrame, index, text_col: str) -> DataFrame:
+def _scan(docs: DataFrame, index, text_col: str, cut: bool) -> DataFrame:
     """Adds the hits of one index, to those that the documents have from earlier passes if any."""
     before = "hit_spans" in docs.columns
     kept_names = [c for c in docs.columns if c not in ("n_words", "hit_spans", "hit_items")]
     schema = T.StructType([*docs.select(*kept_names).schema.fields, T.StructField("n_words", T.LongType()), T.StructField("hit_spans", SPANS), T.StructField("hit_items", T.ArrayType(T.LongType()))])
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = [index.value.scan(text) for text in batch.column(text_col).to_pylist()]
-            words, spans, items = (list(x) for x in zip(*got, strict=True)) if got else ([], [], [])
+    def scan() -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
+        held = index.value
+
+        def part(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            texts = batch.column(text_col).to_pylist()
+            words, spans, items = (list(x) for x in zip(*map(held.scan, texts), strict=True))
             if before:
                 spans = [_merge([*a, *b]) for a, b in zip(spans, batch.column("hit_spans").to_pylist(), strict=True)]
-                items = [[*a, *b] for a, b in zip(items, batch.column("hit_items").to_pylist(), strict=True)]
-            kept = [batch.column(c) for c in kept_names]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(words, pa.int64()), pa.array(spans, pa.list_(pa.list_(pa.int32()))), pa.array(items, pa.list_(pa.int64()))], names=schema.names)
+                items = [sorted({*a, *b}) for a, b in zip(items, batch.column("hit_items").to_pylist(), strict=True)]
+            kept = {c: batch.column(c) for c in kept_names}
+            if cut and any(spans):
+                kept[text_col] = pa.array(map(without_spans, texts, spans), kept[text_col].type)
+            yield pa.RecordBatch.from_arrays([*kept.values(), pa.array(words, pa.int64()), pa.array(spans, pa.list_(pa.list_(pa.int32()))), pa.array(items, pa.list_(pa.int64()))], names=schema.names)
+
+        return part
 
-    return docs.mapInArrow(scan, schema)
+    return docs.mapInArrow(in_parts(scan, text_col), schema)
 
 
 def _merge(spans: list[list[int]]) -> list[list[int]]:
@@ -143,11 +152,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, n: int = 10, mode: str = "s
     """
     if mode not in ("spans", "documents"):
         raise ValueError(f"mode is spans or documents, not {mode}")
-    found = hits(docs, items, n, text_col, **how)
+    found = hits(docs, items, n, text_col, cut=mode == "spans", **how)
     if mode == "documents":
-        return found.where(F.size("hit_spans") == 0).select(*docs.columns)
-    cut = F.udf(lambda text, spans: without_spans(text, spans), T.StringType())
-    return found.withColumn(text_col, F.when(F.size("hit_spans") > 0, cut(text_col, "hit_spans")).otherwise(F.col(text_col))).select(*docs.columns)
+        found = found.where(F.size("hit_spans") == 0)
+    return found.select(*docs.columns)
 
 
 def report(found: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -3,16 +3,16 @@
 A line's key is the line without `[\\x20\\x09-\\x0D]` at both ends and with A-Z lower-cased. Keys of at least `least_chars` code points in
 at least two documents lose all their lines except in the smallest doc_id that holds them.
 
-1. Documents are dealt to blocks by their id. A block hashes its distinct keys to 128 bits and sends each shard one packed row: the key's
-   64-bit hash, a 32-bit fingerprint, in how many of the block's documents it is (1 or 2, more counts as 2) and the smallest of them. However
-   frequent a line is, a block sends it once.
+1. Documents are dealt to blocks by a hash of id and text, so an id, null or not, that many rows share doesn't fill one block. A block hashes
+   its distinct keys to 128 bits and sends each shard one packed row: the key's 64-bit hash, a 32-bit fingerprint, in how many of the block's
+   documents it is (1 or 2, more counts as 2) and the smallest of them. However frequent a line is, a block sends it once.
 2. A shard builds a minimal perfect hash over its distinct line hashes. Its slots index three arrays: fingerprint, document count, smallest
-   document. Then the packed rows of all blocks are looked up in the arrays, and each block gets back the places in its own row of the keys
+   document; a key that a block has in two documents, or two blocks in different ones, counts as 2. Then the packed rows of all blocks are looked up in the arrays, and each block gets back the places in its own row of the keys
    that repeat, with their keeper.
 3. A block drops the lines. Its documents come from the shuffle of step 1, which Spark reads a second time.
 
 A line hash that belongs to several fingerprints in a shard keeps the further ones in a small side table, so that equal means 96 equal bits.
-The number of blocks and shards follows the size of the input.
+The number of blocks and shards follows the size of the input; a block sends at most one row a key, however many shards there are.
 
 Defined results: a null or empty text is one empty line, and a null text stays null; rows with the same doc_id count as one document;
 a null doc_id counts as one document behind all others; other columns stay, and columns named like the results are replaced.
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BLANKS, binary_column, free_name, pack, pieces_for
+from .common import BLANKS, binary_column, free_name, in_groups, pack, pieces_for, release
 from .perfect_hash import PerfectHash
 
 #: A doc_id behind all others, for null.
@@ -92,8 +92,9 @@ class ShardIndex:
         first[1:] = (h[1:] != h[:-1]) | (p[1:] != p[:-1])
         starts = np.flatnonzero(first)
         h, p = h[starts], p[starts]
-        total = np.minimum(np.add.reduceat(counts[order].astype(np.int64), starts), 2).astype(np.uint8) if len(starts) else counts[:0]
         owner = np.minimum.reduceat(owners[order], starts) if len(starts) else owners[:0]
+        # rows of one document may come from several blocks
+        total = np.where(np.maximum.reduceat(owners[order], starts) != owner, 2, np.maximum.reduceat(counts[order], starts)).astype(np.uint8) if len(starts) else counts[:0]
         main = np.ones(len(h), bool)
         main[1:] = h[1:] != h[:-1]
         self.perfect = PerfectHash(h[main])
@@ -135,7 +136,7 @@ def dedup_lines(docs: DataFrame, least_chars: int = 10, id_col: str = "doc_id",
     columns = docs.columns
     blocks, shards = pieces_for(docs, BLOCK_BYTES), pieces_for(docs, SHARD_BYTES, 4)
     block_col = free_name(columns, "block")
-    dealt = docs.withColumn(block_col, F.pmod(F.xxhash64(F.col(id_col)), F.lit(blocks)))
+    dealt = docs.withColumn(block_col, F.pmod(F.xxhash64(id_col, text_col), F.lit(blocks)))
 
     def route(table: pa.Table) -> pa.Table:
         lines = BlockLines(table.column(text_col).to_pylist(), table.column(id_col).to_pylist(), least_chars, shards)
@@ -168,12 +169,13 @@ def dedup_lines(docs: DataFrame, least_chars: int = 10, id_col: str = "doc_id",
             out = gone[at : at + n]
             at += n
             dropped.append(int(out.sum()))
-            kept.append("\n".join(x for x, g in zip(text.split("\n"), out, strict=True) if not g) if dropped[-1] else text)
+            kept.append("\n".join(x for x, g in zip((text or "").split("\n"), out, strict=True) if not g) if dropped[-1] else text)
         out = {c: table.column(c) for c in columns} | {text_col: pa.array(kept, pa.string())}
+        release()
         return pa.table([*out.values(), pa.array(lines.n_lines, pa.int64()), pa.array(dropped, pa.int64())], names=[*columns, "n_lines", "n_dropped"])
 
     schema = T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
-    answers = dealt.groupBy(block_col).applyInArrow(route, ROUTED).groupBy("shard").applyInArrow(_shard_answers, "block long, shard int, places binary, owners binary")
+    answers = dealt.groupBy(block_col).applyInArrow(in_groups(route), ROUTED).groupBy("shard").applyInArrow(in_groups(_shard_answers), "block long, shard int, places binary, owners binary")
     return dealt.groupBy(block_col).cogroup(answers.groupBy("block")).applyInArrow(drop, schema)
 
 

@@ -10,11 +10,17 @@
 4. Clusters are joined by prefix tree (`TreeJoin`): the ordered sets are stored in a tree, traversed with the partial overlap that the sets of a
    subtree have in common, and subtrees are pruned by the overlap that their remaining length can still give. Nodes of a component that has
    taken in most of a cluster are not compared with each other again.
-5. A cluster of over `most_tokens` shingles is cut into blocks that are joined one by one, then in pairs, except pairs of blocks that lie in a single
-   component by then; so a large group of near copies costs one pass and its stragglers. The components of all links are the result.
+5. A cluster of over `most_tokens` shingles is cut into blocks: by classes of set size, so that what links lies in one class or in two that
+   follow each other, and by a hash within a class. Blocks are joined one by one; then some members of the largest component of each block are
+   joined, so that the blocks of a large group of near copies become one component; then pairs of blocks of the same or the next class, except those
+   that lie in a single component by then. The components of all links are the result.
 
-Sizes of batches and shards are bounded, and their number follows the input. Batches are those of the input's partitions, so the input must be
-read the same way again if an executor is lost, as files are. Links: 100 |x and y| >= percent |x or y|, in integers.
+Sizes of batches and shards are bounded, and their number follows the input. A batch sends a row to each shard that it has shingles for, so rows hold
+about BATCH_BYTES * SHARD_BYTES / (6 * input) shingles: raise both with the memory of the executors where the input is beyond tens of terabytes.
+Batches are those of the input's partitions, so the input must be read the same way again if an executor is lost, as files are.
+
+Links: 100 |x and y| >= percent |x or y|, in integers, over shingles that travel as 40 bits beside their shard. In a shard of a million shingles about one
+pair in two million million is taken for one, so the sizes of a few intersections are off by one; the sizes of the sets are those of 64-bit hashes.
 
 Defined results: a null, empty or wordless text has an empty set and links with nothing; a text of fewer words than `k` is one shingle of all
 its words; repeated rows are one node; rows with one doc_id but different texts are judged by their own texts; a null doc_id gets a null
@@ -23,14 +29,15 @@ component unless it is linked with a document that has an id; other columns are
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import binary_column, pack, pieces_for, ranges, segment_starts, written
+from .common import binary_column, dropped, in_groups, in_parts, pack, pieces_for, ranges, release, segment_starts, written
 from .components import UnionFind, components
 from .perfect_hash import mix
 from .shingles import WordHashes, set_key, shingle_set
@@ -38,8 +45,10 @@ from .shingles import WordHashes, set_key, shingle_set
 #: Stands for a null doc_id; larger than any other.
 NO_ID = np.iinfo(np.int64).max
 SHARD_BYTES = 8 << 20
-#: Below 2^16: nodes are numbered by two bytes within a batch.
-BATCH_DOCS = 4096
+#: Documents below 2^16: nodes are numbered by two bytes within a batch.
+BATCH_DOCS, BATCH_BYTES = 4096, 8 << 20
+#: How many members of a block's largest component are held against those of other blocks.
+SPOKESMEN = 8
 ROWS = "kind int, shard long, batch long, a binary, b binary, c binary, d binary"
 NAMES = ["kind", "shard", "batch", "a", "b", "c", "d"]
 DOCS, TOKENS, NODES = 0, 1, 2
@@ -160,34 +169,37 @@ class TreeJoin:
 def _encode(k: int, shards: int):
     """Batches of documents -> packed rows of their nodes and documents, and of the shingles of the nodes by shard."""
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encode() -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
         hashes = WordHashes()
-        for whole in batches:
-            for first in range(0, whole.num_rows, BATCH_DOCS):
-                batch = whole.slice(first, BATCH_DOCS)
-                ids = batch.column("doc_id").fill_null(NO_ID).to_numpy(zero_copy_only=False).astype(np.int64)
-                nodes: dict[tuple[int, int], int] = {}
-                sets, of = [], np.empty(len(ids), np.int64)
-                for i, text in enumerate(batch.column("text").to_pylist()):
-                    tokens = shingle_set(text, k, hashes)
-                    key = set_key(tokens) if len(tokens) else (0, 0)
-                    at = nodes.setdefault(key, len(sets))
-                    of[i] = at
-                    if at == len(sets):
-                        sets.append(tokens)
-                least = np.full(len(sets), NO_ID, np.int64)
-                np.minimum.at(least, of, ids)
-                sizes = np.array([len(s) for s in sets], np.int64)
-                keys = np.array([a ^ b for a, b in nodes], np.uint64)
-                # rows with one id but different texts are different nodes
-                names = mix(least.view(np.uint64) ^ keys, 3).view(np.int64)
-                # nodes are numbered by their place in the batch: the same nodes in another order are another batch
-                batch_key = int(mix(names.view(np.uint64) ^ mix(np.arange(len(names)), 6), 4).sum(dtype=np.uint64).view(np.int64))
-                yield _node_rows(batch_key, ids, of, names, least, sizes, shards)
-                if sizes.sum():
-                    yield _token_rows(batch_key, np.concatenate(sets), sizes, shards)
-
-    return encode
+
+        def part(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            ids = batch.column("doc_id").fill_null(NO_ID).to_numpy(zero_copy_only=False).astype(np.int64)
+            nodes: dict[tuple[int, int], int] = {}
+            sets, of = [], np.empty(len(ids), np.int64)
+            for i, text in enumerate(batch.column("text")):
+                tokens = shingle_set(text.as_py(), k, hashes)
+                key = set_key(tokens) if len(tokens) else (0, 0)
+                at = nodes.setdefault(key, len(sets))
+                of[i] = at
+                if at == len(sets):
+                    sets.append(tokens)
+            least = np.full(len(sets), NO_ID, np.int64)
+            np.minimum.at(least, of, ids)
+            sizes = np.array([len(s) for s in sets], np.int64)
+            keys = np.array([a ^ b for a, b in nodes], np.uint64)
+            # rows with one id but different texts are different nodes
+            names = mix(least.view(np.uint64) ^ keys, 3).view(np.int64)
+            # nodes are numbered by their place in the batch: the same nodes in another order are another batch
+            batch_key = int(mix(names.view(np.uint64) ^ mix(np.arange(len(names)), 6), 4).sum(dtype=np.uint64).view(np.int64))
+            yield _node_rows(batch_key, ids, of, names, least, sizes, shards)
+            if sizes.sum():
+                tokens = np.concatenate(sets)
+                sets.clear()
+                yield _token_rows(batch_key, tokens, sizes, shards)
+
+        return part
+
+    return in_parts(encode, "text", BATCH_DOCS, BATCH_BYTES)
 
 
 def _node_rows(batch_key, ids, of, names, least, sizes, shards) -> pa.RecordBatch:
@@ -211,8 +223,8 @@ def _from_five(data: bytes) -> np.ndarray:
 
 def _token_rows(batch_key, tokens, sizes, shards) -> pa.RecordBatch:
     """A row a shard: 40 bits of each token, and for each node of the batch that has any its number and how many they are."""
-    node = np.repeat(np.arange(len(sizes)), sizes)
-    shard = (tokens % np.uint64(shards)).astype(np.int64)
+    node = np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes)
+    shard = (tokens % np.uint64(shards)).astype(np.int32)
     order = np.argsort(shard, kind="stable")
     shard, node, packed = shard[order], node[order], _five(tokens[order] >> np.uint64(24))
     cut = np.append(np.flatnonzero(np.append(True, shard[1:] != shard[:-1])), len(shard))
@@ -241,14 +253,14 @@ def _count(table: pa.Table) -> pa.Table:
     shard, keys = mine.column("shard")[0].as_py(), mine.column("batch").to_pylist()
     token = _from_five(b"".join(mine.column("a").to_pylist()))
     numbers, runs = ([np.frombuffer(x, t) for x in mine.column(c).to_pylist()] for c, t in (("b", np.uint16), ("c", np.int32)))
-    row = np.repeat(np.arange(len(runs)), [int(r.sum()) for r in runs])
+    row = np.repeat(np.arange(len(runs), dtype=np.int32), [int(r.sum()) for r in runs])
     node = np.repeat(np.concatenate(numbers), np.concatenate(runs))
-    order = np.argsort(token, kind="stable")
-    sorted_token = token[order]
-    group = np.cumsum(np.append(False, sorted_token[1:] != sorted_token[:-1]))
-    often = np.bincount(group)[group]
-    code = np.zeros(len(token), np.uint8)
-    code[order] = np.where(often >= 2, np.minimum(255, np.floor(8 * np.log2(often))), 0)
+    order = np.argsort(token, kind="stable").astype(np.int32)
+    often = _runs(token[order])[1]
+    coded = np.where(often >= 2, np.minimum(255, np.floor(8 * np.log2(often))), 0).astype(np.uint8)
+    code = np.empty(len(token), np.uint8)
+    code[order] = np.repeat(coded, often)
+    del order, often, coded
     keep = code > 0
     token, node, row, code = token[keep], node[keep], row[keep], code[keep]
     cut = np.append(np.flatnonzero(np.append(True, row[1:] != row[:-1])), len(row)) if len(row) else np.zeros(1, np.int64)
@@ -289,7 +301,7 @@ def _sets(percent: int, shards: int):
         who = who[keep]
         return pa.table([pa.array(names[who]), pa.array(least[who]), pa.array(sizes[who].astype(np.int32)), pa.array(np.minimum(n_first, length)[keep].astype(np.int32)), binary_column(tokens)], names=["name", "least", "size", "n_first", "tokens"])
 
-    return build
+    return in_groups(build)
 
 
 def _chains(token: np.ndarray, low: np.ndarray, high: np.ndarray, name: np.ndarray, percent: int):
@@ -349,6 +361,7 @@ def _local_chains(percent: int, shards: int):
                     column.append(x)
             if rows[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), *map(binary_column, rows[1:])], names=CHAINED_NAMES)
+        release()
 
     return chain
 
@@ -360,7 +373,7 @@ def _shard_links(percent: int):
         links = _forest(np.concatenate((links, np.stack((join("a", np.int64), join("b", np.int64)), axis=1))))
         return pa.table([pa.array(links[:, 0], pa.int64()), pa.array(links[:, 1], pa.int64())], names=["a", "b"])
 
-    return link
+    return in_groups(link)
 
 
 def _join_groups(percent: int, outer_col: str | None = None):
@@ -393,34 +406,40 @@ def _join_groups(percent: int, outer_col: str | None = None):
             roots += name[mine[[joined.find(i) for i in range(len(mine))]]].tolist()
         return pa.table([pa.array(names, pa.int64()), pa.array(roots, pa.int64())], names=["name", "root"])
 
-    return join
+    return in_groups(join)
+
+
+def _linked(roots: DataFrame) -> DataFrame:
+    return roots.where("name <> root").select(F.col("name").alias("a"), F.col("root").alias("b"))
 
 
 def _joined_in_blocks(sets: DataFrame, percent: int, most_tokens: int) -> DataFrame:
     """(name, root) for the sets of large clusters; see 5. above."""
-    weigh = sets.groupBy("cluster").agg(F.ceil(F.sum("n") / most_tokens).cast("long").alias("blocks"))
-    sets = written(sets.join(weigh, "cluster"))
-
-    def blocked(frame: DataFrame) -> DataFrame:
-        return frame.withColumn("part", F.pmod(F.xxhash64("name"), "blocks"))
-
-    once = blocked(sets).groupBy("cluster", "part").applyInArrow(_join_groups(percent), "name long, root long")
-    links = written(once.where("name <> root").select(F.col("name").alias("a"), F.col("root").alias("b")))
-    found = components(links)
-    sets = written(sets.join(found.withColumnRenamed("node", "name"), "name", "left").withColumn("known", F.coalesce("component", "name")).drop("component"))
-    # members of large components fill blocks of their own; the rest are dealt by hash
-    weight = sets.groupBy("cluster", "known").agg(F.ceil(F.sum("n") / most_tokens).cast("long").alias("own_blocks"))
-    sets = sets.join(weight, ["cluster", "known"])
-    place = F.when(F.col("own_blocks") > 1, F.concat_ws(":", "known", F.pmod(F.xxhash64("name"), "own_blocks"))).otherwise(F.concat_ws(":", F.lit("rest"), F.pmod(F.xxhash64("known"), "blocks")))
-    sets = written(sets.withColumn("place", place))
-    blocks = sets.groupBy("cluster", "place").agg(F.min("known").alias("low"), F.max("known").alias("high"))
-    other = blocks.select("cluster", F.col("place").alias("place2"), F.col("low").alias("low2"), F.col("high").alias("high2"))
+    # sizes that can link are less than a whole class apart
+    cls = F.floor(F.log(F.col("size").cast("double")) / (math.log(100 / percent) * (1 + 1e-9))).cast("int")
+    sets = sets.withColumn("cls", cls)
+    weigh = sets.groupBy("cluster", "cls").agg(F.ceil(F.sum("n") / most_tokens).cast("long").alias("blocks"))
+    sets = written(sets.join(weigh, ["cluster", "cls"]).withColumn("part", F.pmod(F.xxhash64("name"), "blocks")))
+    links = written(_linked(sets.groupBy("cluster", "cls", "part").applyInArrow(_join_groups(percent), "name long, root long")))
+    within = components(links)
+    own = sets.join(within.withColumnRenamed("node", "name"), "name").select("cluster", "cls", "part", "component", "name")
+    largest = own.groupBy("cluster", "cls", "part", "component").count().groupBy("cluster", "cls", "part").agg(F.max_by("component", F.struct("count", "component")).alias("component"))
+    speak = own.join(largest, ["cluster", "cls", "part", "component"])
+    speak = speak.withColumn("place", F.row_number().over(Window.partitionBy("component").orderBy("name"))).where(F.col("place") <= SPOKESMEN).select("name")
+    met = written(_linked(sets.join(speak, "name").groupBy("cluster").applyInArrow(_join_groups(percent), "name long, root long")))
+    found = components(links.unionByName(met))
+    placed = written(sets.join(found.withColumnRenamed("node", "name"), "name", "left").withColumn("known", F.coalesce("component", "name")).drop("component"))
+    blocks = placed.groupBy("cluster", "cls", "part").agg(F.min("known").alias("low"), F.max("known").alias("high")).withColumn("block", F.xxhash64("cluster", "cls", "part"))
+    near = blocks.select("cluster", F.explode(F.array(F.col("cls"), F.col("cls") + 1)).alias("cls"), F.col("cls").alias("cls2"), F.col("block").alias("block2"), F.col("low").alias("low2"), F.col("high").alias("high2"))
     apart = ~((F.col("low") == F.col("high")) & (F.col("low2") == F.col("high2")) & (F.col("low") == F.col("low2")))
-    pairs = written(blocks.join(other, "cluster").where((F.col("place") < F.col("place2")) & apart).select("cluster", "place", "place2").withColumn("pair", F.xxhash64("cluster", "place", "place2")))
-    sides = pairs.select("cluster", "place", "pair", F.lit(0).alias("side")).unionByName(pairs.select("cluster", F.col("place2").alias("place"), "pair", F.lit(1).alias("side")))
-    crossed = sets.join(sides, ["cluster", "place"]).select(F.col("pair").alias("cluster"), "name", "size", "tokens", "known", "side")
-    more = crossed.groupBy("cluster").applyInArrow(_join_groups(percent, "side"), "name long, root long").where("name <> root").select(F.col("name").alias("a"), F.col("root").alias("b"))
-    return components(links.unionByName(more)).select(F.col("node").alias("name"), F.col("component").alias("root"))
+    once = (F.col("cls2") < F.col("cls")) | (F.col("block2") < F.col("block"))
+    pairs = written(blocks.join(near, ["cluster", "cls"]).where(once & apart).select("block", "block2").withColumn("pair", F.xxhash64("block", "block2")))
+    sides = pairs.select("block", "pair", F.lit(0).alias("side")).unionByName(pairs.select(F.col("block2").alias("block"), "pair", F.lit(1).alias("side")))
+    crossed = placed.withColumn("block", F.xxhash64("cluster", "cls", "part")).join(sides, "block").select(F.col("pair").alias("cluster"), "name", "size", "tokens", "known", "side")
+    more = _linked(crossed.groupBy("cluster").applyInArrow(_join_groups(percent, "side"), "name long, root long"))
+    every = written(links.unionByName(met).unionByName(more))
+    dropped(sets, placed, links, met, pairs)
+    return components(every).select(F.col("node").alias("name"), F.col("component").alias("root"))
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75, most_tokens: int = 2_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -428,18 +447,14 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75, most_toke
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     shards = pieces_for(docs, SHARD_BYTES, 8)
     rows = texts.mapInArrow(_encode(k, shards), ROWS)
-    counted = written(rows.groupBy("shard").applyInArrow(_count, ROWS))
+    counted = written(rows.groupBy("shard").applyInArrow(in_groups(_count), ROWS))
     sets = written(counted.where(F.col("kind") != DOCS).groupBy("batch").applyInArrow(_sets(percent, shards), SETS))
     chained = sets.mapInArrow(_local_chains(percent, shards), CHAINED).groupBy("shard").applyInArrow(_shard_links(percent), "a long, b long")
     clusters = components(chained).select(F.col("node").alias("name"), F.col("component").alias("cluster"))
-    n_tokens = (F.octet_length("tokens") / 8).cast("long").alias("n")
-    weight = sets.select("name", n_tokens).join(clusters, "name").groupBy("cluster").agg(F.sum("n").alias("weight"))
-    large = written(weight.where(F.col("weight") > most_tokens).select("cluster"))
-    placed = small = sets.join(clusters, "name").withColumn("n", (F.octet_length("tokens") / 8).cast("long"))
+    placed = written(sets.join(clusters, "name").withColumn("n", (F.octet_length("tokens") / 8).cast("long")))
+    large = written(placed.groupBy("cluster").agg(F.sum("n").alias("weight")).where(F.col("weight") > most_tokens).select("cluster"))
     some_large = large.limit(1).count() > 0
-    if some_large:
-        placed = written(placed)
-        small = placed.join(large, "cluster", "left_anti")
+    small = placed.join(large, "cluster", "left_anti") if some_large else placed
     roots = small.withColumn("bin", F.pmod(F.xxhash64("cluster"), F.lit(8 * shards))).groupBy("bin").applyInArrow(_join_groups(percent), "name long, root long")
     if some_large:
         roots = roots.unionByName(_joined_in_blocks(placed.join(large, "cluster"), percent, most_tokens))
@@ -448,7 +463,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75, most_toke
     pairs = roots.where("name <> root").distinct()
     linked = pairs.unionByName(pairs.select(F.col("root").alias("name"), "root").distinct())
     # names are hashes; the component is called by the smallest document
-    least = linked.join(sets.select("name", "least"), "name").groupBy("root").agg(F.min("least").alias("component_id"))
+    least = linked.join(placed.select("name", "least"), "name").groupBy("root").agg(F.min("least").alias("component_id"))
     of = linked.join(least, "root").select("name", "component_id")
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -457,7 +472,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75, most_toke
 
     rows = counted.where(F.col("kind") == DOCS).select("a", "b", "c", "d").mapInArrow(documents, "id long, name long, least long, n_shingles long")
     out = rows.join(of, "name", "left").select("id", "n_shingles", F.coalesce("component_id", "least").alias("component_id"))
-    return out.select(F.nullif("id", F.lit(NO_ID)).alias("doc_id"), "n_shingles", F.nullif("component_id", F.lit(NO_ID)).alias("component_id"))
+    out = written(out.select(F.nullif("id", F.lit(NO_ID)).alias("doc_id"), "n_shingles", F.nullif("component_id", F.lit(NO_ID)).alias("component_id")))
+    dropped(counted, sets, placed, large, roots)
+    return out
 
 
 #: The rows of jaccard_components() with 5 words and 75 percent, for DuckDB over `documents`.

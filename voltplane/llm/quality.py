@@ -5,18 +5,19 @@
 The pairwise sum is taken in linear time as half of |sum_j v_j x_j|^2 - sum_j |v_j|^2 x_j^2. x holds, for each distinct word, log(1 + its
 count) at a hashed place, scaled to length 1 over the words, and the standardised statistics. All documents are scored whole, in one map.
 
-The model is fitted on the driver on a bounded sample: the labelled documents outside the held-out fold with the smallest hashes of their id,
+The model is fitted on the driver on a bounded sample: the labelled documents outside the held-out fold whose id has a small hash,
 about `train_rows` of them at any size of the input. The fit runs a fixed number of passes from a fixed seed.
 
 Defined results: a null text counts as empty; an empty text has no words and gets the score of its statistics; a null doc_id is hashed as an
-empty text; documents without a label are scored like any other; a document with several labels takes part once for each; without labelled rows
-to learn from every score is 1; columns named like the results are replaced, others stay. Labels, language, source and id are no inputs.
+empty text; documents without a label are scored like any other; a document with both labels takes part once for each; of several rows with one
+doc_id the first text in order is learned from, and each is scored; without labelled rows to learn from every score is 1; columns named like the
+results are replaced, others stay. The length is counted from the text, so a wrong `n_chars` does no harm. Labels, language, source and id are no inputs.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut_at_blanks, utf8
+from .common import cut_at_blanks, in_parts, utf8
 
 DIMS = 1 << 14
 _SPACES = bytes(32 if b in b"\t\n\x0b\x0c\r" else b for b in range(256))
@@ -52,7 +53,7 @@ _PUNCT = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 _HIGH = bytes(range(128, 256))
 
 
-def features(text: str | None, n_chars: int | None, places: WordPlaces) -> tuple[np.ndarray, np.ndarray, list[float]]:
+def features(text: str | None, places: WordPlaces) -> tuple[np.ndarray, np.ndarray, list[float]]:
     """The distinct places, their values (of length 1 in all), and the statistics of a text."""
     data = utf8(text)
     parts = [np.fromiter(map(places.__getitem__, ws := part.split()), np.int32, len(ws)) for part in cut_at_blanks(data.translate(_SPACES))]
@@ -63,7 +64,7 @@ def features(text: str | None, n_chars: int | None, places: WordPlaces) -> tuple
         value /= np.sqrt(np.square(value).sum())
     n, nw, lines = max(len(data), 1), max(len(words), 1), data.count(b"\n") + 1
     stats = [
-        np.log1p(len(text or "") if n_chars is None else n_chars),
+        np.log1p(len(text or "")),
         np.log1p(len(words)),
         len(data) / nw,
         _deleted(data, _CAPS) / n,
@@ -150,28 +151,31 @@ def fold(id_col: Column) -> Column:
 _FEATURES = T.StructType([T.StructField("label", T.IntegerType()), T.StructField("at", T.BinaryType()), T.StructField("value", T.BinaryType()), T.StructField("stats", T.ArrayType(T.DoubleType()))])
 
 
-def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", train_rows: int = 12_000, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", **how) -> Machine | None:
+def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", train_rows: int = 12_000, id_col: str = "doc_id", text_col: str = "text", **how) -> Machine | None:
     """A machine for P(label = 1), fitted on about train_rows labelled documents outside fold 0; None if there are none."""
-    known = labels.select(F.col(id_col).alias("i"), F.col(label_col).cast("int").alias("label")).where(F.col("i").isNotNull() & F.col("label").isin(0, 1) & (fold(F.col("i")) != 0))
+    known = labels.select(F.col(id_col).alias("i"), F.col(label_col).cast("int").alias("label")).where(F.col("i").isNotNull() & F.col("label").isin(0, 1) & (fold(F.col("i")) != 0)).distinct()
     n = known.count()
     if not n:
         return None
     if n > train_rows:
         known = known.where(F.pmod(F.xxhash64("i"), F.lit(1 << 30)) < int(train_rows / n * (1 << 30)))
-    length = F.col(length_col) if length_col in docs.columns else F.lit(None).cast("long")
-    texts = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), length.cast("long").alias("c"))
+    texts = docs.select(F.col(id_col).alias("i"), F.coalesce(text_col, F.lit("")).alias("t"))
 
-    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def extract() -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
         places = WordPlaces()
-        for batch in batches:
-            got = [features(t, c, places) for t, c in zip(batch.column("t").to_pylist(), batch.column("c").to_pylist(), strict=True)]
+
+        def part(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            got = [features(t, places) for t in batch.column("t").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("label"), pa.array([a.astype(np.int32).tobytes() for a, _, _ in got], pa.binary()), pa.array([v.astype(np.float32).tobytes() for _, v, _ in got], pa.binary()), pa.array([s for _, _, s in got], pa.list_(pa.float64()))],
                 names=_FEATURES.names,
             )
 
-    # known has about train_rows rows at most, at any size of the input
-    rows = texts.join(F.broadcast(known), "i").select("label", "t", "c").mapInArrow(extract, _FEATURES).collect()
+        return part
+
+    # known has about train_rows rows at most, at any size of the input; rows with one id are one example
+    chosen = texts.join(F.broadcast(known), "i").groupBy("i", "label").agg(F.min("t").alias("t"))
+    rows = chosen.select("label", "t").mapInArrow(in_parts(extract, "t"), _FEATURES).collect()
     rows.sort(key=lambda r: (r.label, bytes(r.value), bytes(r["at"])))
     if not rows:
         return None
@@ -179,30 +183,28 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", train_
     return fit(examples, np.array([r.label for r in rows], float), **how)
 
 
-def score(docs: DataFrame, machine: Machine | None, threshold: float = 0.3, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+def score(docs: DataFrame, machine: Machine | None, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
     """The documents with score double and predicted int (1 if score >= threshold)."""
     docs = docs.drop("score", "predicted")
     if machine is None:
         return docs.withColumn("score", F.lit(1.0)).withColumn("predicted", F.lit(1))
     model = docs.sparkSession.sparkContext.broadcast(machine)
     schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
-    has_length = length_col in docs.columns
 
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = WordPlaces()
-        for whole in batches:
-            for first in range(0, whole.num_rows, 500):
-                batch = whole.slice(first, 500)
-                texts = batch.column(text_col).to_pylist()
-                lengths = batch.column(length_col).to_pylist() if has_length else [None] * len(texts)
-                got = [features(t, c, places) for t, c in zip(texts, lengths, strict=True)]
-                sizes = np.array([len(a) for a, _, _ in got])
-                scores = model.value.scores(np.concatenate([a for a, _, _ in got]), np.concatenate([v for _, v, _ in got]), sizes, np.array([s for _, _, s in got]))
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64()), pa.array((scores >= threshold).astype(np.int32), pa.int32())], names=schema.names)
+    def apply() -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
+        places, held = WordPlaces(), model.value
+
+        def part(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            got = [features(t, places) for t in batch.column(text_col).to_pylist()]
+            sizes = np.array([len(a) for a, _, _ in got])
+            scores = held.scores(np.concatenate([a for a, _, _ in got]), np.concatenate([v for _, v, _ in got]), sizes, np.array([s for _, _, s in got]))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64()), pa.array((scores >= threshold).astype(np.int32), pa.int32())], names=schema.names)
+
+        return part
 
-    return docs.mapInArrow(apply, schema)
+    return docs.mapInArrow(in_parts(apply, text_col, rows=500), schema)
 
 
 def report(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted."""
-    return score(docs.select("doc_id", "text", "n_chars"), train(docs, labels, **how)).select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted")
+    return score(docs.select("doc_id", "text"), train(docs, labels, **how)).select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted")

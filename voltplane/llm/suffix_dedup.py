@@ -22,7 +22,7 @@ match each other; a null doc_id has no findings; other columns are not returned
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ALNUM_TABLE, binary_column, free_name, pack, pieces_for, segment_starts, utf8
+from .common import ALNUM_TABLE, binary_column, free_name, in_groups, in_parts, pack, pieces_for, segment_starts, utf8
 from .decontaminate import without_spans
 from .perfect_hash import mix
 from .shingles import _FACTOR, WordHashes, windows, word_hashes
 
 SHARD_BYTES = 8 << 20
-BATCH_DOCS = 1024
+BATCH_DOCS, BATCH_BYTES = 1024, 4 << 20
 SUFFIXES, MATCHES = 0, 1
 #: A row packs a shard's records of a batch. more: (record, place) of the places of a record's document after the first; pair: (record, next document with its sides).
 ROWS = "kind int, shard long, hash binary, doc binary, at binary, sides binary, more binary, pair binary"
@@ -148,17 +148,20 @@ def _put_together(doc, first, end, other, changed) -> tuple[np.ndarray, ...]:
 def _encode(n: int, gram: int, shards: int):
     side = n - gram
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encode() -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
         hashes = WordHashes()
-        for whole in batches:
-            for first in range(0, whole.num_rows, BATCH_DOCS):
-                batch = whole.slice(first, BATCH_DOCS)
-                got = [(i, x) for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True) if i is not None and (x := _suffixes(t, n, gram, hashes))]
-                if got:
-                    doc = np.repeat(np.array([i for i, _ in got], np.int64), [len(x[0]) for _, x in got])
-                    yield _rows(doc, *(np.concatenate([x[c] for _, x in got]) for c in range(3)), side, gram, shards)
 
-    return encode
+        def part(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            got = [(i, x) for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True) if i is not None and (x := _suffixes(t.as_py(), n, gram, hashes))]
+            if got:
+                doc = np.repeat(np.array([i for i, _ in got], np.int64), [len(x[0]) for _, x in got])
+                columns = [np.concatenate([x[c] for _, x in got]) for c in range(3)]
+                got.clear()
+                yield _rows(doc, *columns, side, gram, shards)
+
+        return part
+
+    return in_parts(encode, "text", BATCH_DOCS, BATCH_BYTES)
 
 
 def _rows(doc, hash_, at, sides, side, gram, shards) -> pa.RecordBatch:
@@ -241,7 +244,7 @@ def _match(n: int, gram: int):
                 out.append((doc[mine][x], where - last[x], where - first[x] + n, other[x]))
         return pa.table([pa.array(x) for x in joined(*(np.concatenate([o[i] for o in out]) for i in range(4)))], names=["doc", "first", "end", "other"])
 
-    return match
+    return in_groups(match)
 
 
 def _merge(table: pa.Table) -> pa.Table:
@@ -262,7 +265,7 @@ def _found(docs: DataFrame, n: int, gram: int, id_col: str, text_col: str) -> tu
 
 
 def _spans(found: DataFrame, shards: int) -> DataFrame:
-    merged = found.withColumn("bucket", F.pmod(F.xxhash64("doc"), F.lit(8 * shards))).groupBy("bucket").applyInArrow(_merge, FOUND)
+    merged = found.withColumn("bucket", F.pmod(F.xxhash64("doc"), F.lit(8 * shards))).groupBy("bucket").applyInArrow(in_groups(_merge), FOUND)
     return merged.select(F.col("doc").alias("doc_id"), F.col("first").alias("first_word"), (F.col("end") - F.col("first")).alias("n_words"), F.col("other").alias("other_doc_id"))
 
 

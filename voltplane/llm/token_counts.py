@@ -5,7 +5,7 @@ them. Two tiers look a pre-token up: first a broadcast compact table of the leng
 worker, which the tokenizer itself fills on a miss. Both tiers only save time: the counts are those of the tokenizer.
 
 The frequent pre-tokens are those of a sample of the whole table (about `sample_docs` documents, `table_size` entries), so the broadcast has a fixed
-bound; the cache of a worker is emptied at `cache_size` entries.
+bound; the cache of a worker is emptied at `cache_size` entries. Texts are taken in parts of bounded size, but a single one is cut into its pre-tokens at once.
 
 Defined results: a null text counts as empty, with 0 bytes and 0 tokens; texts are never cut short; repeated rows are counted one by one;
 other columns stay, and columns named like the results are replaced.
@@ -17,13 +17,14 @@ import json
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import utf8
+from .common import in_parts, release, utf8
 
 #: Longer pre-tokens are not kept in a cache.
 LONGEST_KEPT = 64
@@ -64,7 +65,7 @@ class Lengths(dict):
 class Counter2Tier:
     """Counts tokens with the tokenizer in a file; table: what packed_table() has made."""
 
-    def __init__(self, path: str, table: bytes = b"", cache_size: int = 1 << 18):
+    def __init__(self, path: str, table: bytes = b"", cache_size: int = 1 << 17):
         import regex
         from tokenizers import Tokenizer
 
@@ -109,28 +110,32 @@ def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text", sample_
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 seen.update(counter.pieces(text or ""))
-        top = [p for p, n in seen.most_common(table_size) if len(p) <= LONGEST_KEPT]
-        yield pa.RecordBatch.from_arrays([pa.array(top, pa.string()), pa.array([counter.lengths[p] for p in top], pa.int32())], names=["piece", "n"])
+        top = [(p, n) for p, n in seen.most_common(table_size) if len(p) <= LONGEST_KEPT]
+        yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in top], pa.string()), pa.array([counter.lengths[p] for p, _ in top], pa.int32()), pa.array([n for _, n in top], pa.int64())], names=["piece", "n", "times"])
+        release()
 
-    schema = T.StructType([T.StructField("piece", T.StringType()), T.StructField("n", T.IntegerType())])
-    # drawn from all partitions, as the first rows may be of one source; only the sample goes to the one task
+    # drawn from all partitions, as the first rows may be of one source; each counts its own part of the sample, and the counts are added up
     share = min(1.0, sample_docs / max(1, docs.count()))
-    rows = docs.select(text_col).sample(share, seed=1).repartition(1).mapInArrow(count, schema).collect()
+    counted = docs.select(text_col).sample(share, seed=1).mapInArrow(count, "piece string, n int, times long")
+    rows = counted.groupBy("piece", "n").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "piece").limit(table_size).collect()
     return packed_table({r.piece: r.n for r in rows})
 
 
-def token_counts(docs: DataFrame, path: str, limit: int = 512, text_col: str = "text", sample_docs: int = 2000, table_size: int = 1 << 16, cache_size: int = 1 << 18) -> DataFrame:
+def token_counts(docs: DataFrame, path: str, limit: int = 512, text_col: str = "text", sample_docs: int = 2000, table_size: int = 1 << 16, cache_size: int = 1 << 17) -> DataFrame:
     """The documents with n_bytes long, n_tokens long and over_limit boolean (n_tokens > limit). path: the tokenizer's file, on every executor."""
     docs = docs.drop("n_bytes", "n_tokens", "over_limit")
     table = docs.sparkSession.sparkContext.broadcast(frequent_lengths(docs, path, text_col, sample_docs, table_size))
     schema = T.StructType([*docs.schema.fields, T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("over_limit", T.BooleanType())])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count() -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
         counter = Counter2Tier(path, table.value, cache_size)
-        for batch in batches:
+
+        def part(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             texts = batch.column(text_col).to_pylist()
             n_tokens = [counter.count(t) for t in texts]
             n_bytes = [len(utf8(t)) for t in texts]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64()), pa.array([n > limit for n in n_tokens], pa.bool_())], names=schema.names)
 
-    return docs.mapInArrow(count, schema)
+        return part
+
+    return docs.mapInArrow(in_parts(count, text_col), schema)
