@@ -5,9 +5,11 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
-from voltplane.llm import line_dedup, ngram_join, suffix_dedup
+from voltplane.llm import common, decontaminate, line_dedup, ngram_join, quality, shingles, suffix_dedup
 from voltplane.llm.components import components
 from voltplane.llm.perfect_hash import PerfectHash
 
@@ -258,3 +260,64 @@ def test_batches_of_the_same_documents_in_another_order(spark, monkeypatch):
     docs = spark.createDataFrame(rows + rows[::-1], "doc_id long, text string").coalesce(1)
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(docs).collect()), key=str)
     assert got == brute_jaccard(rows + rows)
+
+
+def spans_of(rows, n, gram, batch):
+    """repeated_spans() without a session: the same functions, shard by shard."""
+    parts = [pa.RecordBatch.from_pylist([{"doc_id": i, "text": t} for i, t in rows[at : at + batch]]) for at in range(0, len(rows), batch)]
+    sent = pa.Table.from_batches(suffix_dedup._encode(n, gram, 3)(iter(parts)))
+    found = [suffix_dedup._match(n, gram)(sent.filter(pc.equal(sent.column("shard"), s))) for s in range(3)]
+    return {(r["doc"], q) for t in found for r in t.to_pylist() for q in range(r["first"], r["end"])}
+
+
+@pytest.mark.parametrize("batch", [1000, 1])
+def test_a_common_core_in_many_contexts_hides_no_passage(batch):
+    """A passage of 50 words in two documents, whose 32 middle words stand in 37 others with fewer than 18 equal words around them."""
+    for seed in range(40):
+        rnd = random.Random(seed)
+        prose = lambda k: [f"v{rnd.randrange(10**6)}" for _ in range(k)]
+        left = rnd.randint(0, 18)
+        before, core, after = prose(left), prose(32), prose(18 - left)
+        texts = [prose(20) + before + core + after + prose(20) for _ in range(2)]
+        for _ in range(37):
+            a = rnd.randint(0, left)
+            b = rnd.randint(0, min(17 - a, 18 - left)) if a < 18 else 0
+            if a + b < 18:
+                texts.append(prose(20) + (before[left - a :] if a else []) + core + after[:b] + prose(20))
+        rows = [(i, " ".join(w)) for i, w in enumerate(rnd.sample(texts, len(texts)))]
+        assert spans_of(rows, 50, 32, batch) == brute_repeats(rows, 50)[0]
+
+
+@pytest.mark.parametrize("chunk", [3, 40])
+def test_long_texts_are_cut_into_words_in_parts(monkeypatch, chunk):
+    rnd = random.Random(chunk)
+    text = "".join(rnd.choice(["a", "B", "été", "x1", "7", "漢字"]) + rnd.choice([" ", "\n", "\t", "\x0b", ", ", "  "]) for _ in range(300))
+    index = decontaminate.WindowIndex([(1, "a B x1"), (2, text[40:90])], 4)
+
+    def everything():
+        at, value, stats = quality.features(text, quality.WordPlaces())
+        hash_, places, sides = suffix_dedup._suffixes(text, 12, 8, shingles.WordHashes())
+        return shingles.shingle_set(text, 5, shingles.WordHashes()).tolist(), hash_.tolist(), places.tolist(), sides.tolist(), index.scan(text), at.tolist(), value.tolist(), stats
+
+    whole = everything()
+    monkeypatch.setattr(shingles.word_hashes, "__defaults__", (chunk,))
+    monkeypatch.setattr(common.cut_at_blanks, "__defaults__", (chunk,))
+    assert everything() == whole
+
+
+def test_parts_of_a_batch():
+    texts = ["abcd", None, "", "x" * 50, "ab", "é" * 3, "y"]
+    batch = pa.RecordBatch.from_pylist([{"text": t, "i": i} for i, t in enumerate(texts)])
+    parts = [p.column("i").to_pylist() for p in common.slices(batch, "text", rows=3, size=8)]
+    assert parts == [[0, 1, 2], [3], [4, 5], [6]] and not list(common.slices(batch[:0], "text"))
+
+
+def test_line_dedup_of_rows_that_share_an_id(spark, monkeypatch):
+    """An id that holds a third of all rows, and none at all, spread over blocks and still count as one document."""
+    monkeypatch.setattr(line_dedup, "BLOCK_BYTES", 200)
+    rnd = random.Random(19)
+    lines = [f"a line of words {i}" for i in range(40)]
+    rows = [(rnd.choice([None, 7, rnd.randint(0, 50)]), "\n".join(rnd.choice(lines) for _ in range(3))) for _ in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(((r.doc_id, r.n_lines, r.n_dropped, r.text or "") for r in line_dedup.dedup_lines(docs).collect()), key=str)
+    assert got == brute_lines(rows)

@@ -5,6 +5,7 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
 
@@ -89,3 +90,22 @@ def test_stages_take_empty_tables(spark, folder, tmp_path):
     for _, stage in corpus_pipeline.STAGES:
         docs = corpus_pipeline.written(stage(spark, docs, str(tmp_path)))
         assert docs.count() == 0
+
+
+def test_stages_take_rows_without_or_with_one_id_and_extra_columns(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("text IS NULL OR text NOT LIKE '%!!%'")
+    for extra in ("score", "n_lines", "hit_spans", "component_id", "block"):
+        docs = docs.withColumn(extra, F.lit(1))
+    hot = docs.where("doc_id < 12").withColumn("doc_id", F.lit(None).cast("long"))
+    docs = corpus_pipeline.written(docs.unionByName(hot).unionByName(docs.where("doc_id IN (3, 4)")).withColumn("n_chars", F.lit(-1).cast("long")))
+    n = docs.count()
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, corpus_pipeline.written(stage(spark, docs, folder))
+        if name == "quality":
+            assert docs.count() == n
+        if name != "packing":
+            assert docs.columns == before.columns
+        if name == "near_duplicates":
+            gone = before.select("doc_id").subtract(docs.select("doc_id")).collect()
+            assert docs.where("doc_id IS NULL").count() == before.where("doc_id IS NULL").count() and gone
+    assert docs.count() == before.count()
