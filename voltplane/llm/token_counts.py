@@ -45,6 +45,15 @@ LATIN = re.compile(rf" ?[{_L}]+| ?[{_N}]+|'(?:[stmd]|re|ve|ll)| ?[^{_S}{_L}{_N}]
 BEYOND_LATIN = re.compile("[^\x00-\u024f]").search
 
 
+#: Byte-level tokenizers write a byte as a character: visible ones of Latin-1 as they are, the others in order from U+0100 on.
+_UNSEEN = [b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE)]
+_BYTE_CHARS = {b: 0x100 + i for i, b in enumerate(_UNSEEN)}
+
+
+def as_byte_chars(piece: str) -> str:
+    return utf8(piece).decode("latin-1").translate(_BYTE_CHARS)
+
+
 class Lengths(dict):
     """Pre-token -> number of tokens: a worker's cache above the broadcast table."""
 
@@ -65,7 +74,7 @@ class Lengths(dict):
 class Counter2Tier:
     """Counts tokens with the tokenizer in a file; table: what packed_table() has made."""
 
-    def __init__(self, path: str, table: bytes = b"", cache_size: int = 1 << 17):
+    def __init__(self, path: str, table: bytes = b"", cache_size: int = 1 << 18):
         import regex
         from tokenizers import Tokenizer
 
@@ -79,7 +88,9 @@ class Counter2Tier:
         self.special = regex.compile("|".join(map(regex.escape, sorted(specials, key=len, reverse=True)))) if specials else None
         self.specials = specials
         self.by_pattern = regex.compile(split_pattern(spec)).findall
-        self.lengths = Lengths(unpacked_table(table), lambda piece: len(tokenizer.encode(piece, add_special_tokens=False).ids), cache_size)
+        # a pre-token goes to the library's model at once, which spares the cut and the offsets of a whole encoding
+        self.model = tokenizer.model
+        self.lengths = Lengths(unpacked_table(table), lambda piece: len(self.model.tokenize(as_byte_chars(piece))), cache_size)
 
     def pieces(self, text: str) -> list[str]:
         return self.by_pattern(text) if BEYOND_LATIN(text) else LATIN(text)
@@ -121,7 +132,7 @@ def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text", sample_
     return packed_table({r.piece: r.n for r in rows})
 
 
-def token_counts(docs: DataFrame, path: str, limit: int = 512, text_col: str = "text", sample_docs: int = 2000, table_size: int = 1 << 16, cache_size: int = 1 << 17) -> DataFrame:
+def token_counts(docs: DataFrame, path: str, limit: int = 512, text_col: str = "text", sample_docs: int = 2000, table_size: int = 1 << 16, cache_size: int = 1 << 18) -> DataFrame:
     """The documents with n_bytes long, n_tokens long and over_limit boolean (n_tokens > limit). path: the tokenizer's file, on every executor."""
     docs = docs.drop("n_bytes", "n_tokens", "over_limit")
     table = docs.sparkSession.sparkContext.broadcast(frequent_lengths(docs, path, text_col, sample_docs, table_size))
