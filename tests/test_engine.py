@@ -148,3 +148,15 @@ def test_streams(spark, tmp_path):
     got = run(streams.drift(stream.select("t", "card", "value")), "update")
     t = np.array([1_700_000_000 + i * 2 + i // 100 * 600 for i in range(300)], float)
     assert got[-1].n == 300 and got[-1].slope_ppm == pytest.approx(np.polyfit(t - t[0], np.arange(300), 1)[0] * 1e6, rel=1e-6)
+
+
+def test_a_table_is_not_lost_between_the_renames_of_a_rewrite(spark, tmp_path):
+    from voltplane.plans import publish
+
+    store = publish.Store(spark, f"file://{tmp_path}")
+    key = dict.fromkeys(publish.PARTITIONS, "k")
+    store.upsert("t", publish.tidy(spark.createDataFrame([(1,)], "v int"), key))
+    assert store._rename("t", "_t_old") and store.read("t").count() == 1
+    # a wider type rewrites the table
+    store.upsert("t", publish.tidy(spark.createDataFrame([(2.5,)], "v double"), dict.fromkeys(publish.PARTITIONS, "m")))
+    assert sorted(r.v for r in store.read("t").collect()) == [1.0, 2.5]

@@ -103,7 +103,8 @@ def two_level(points: DataFrame, segment: str, step: str, temperature: str, i: s
 def ratio_to_median(df: DataFrame, values: list[str], keys: list[str] | None = None) -> DataFrame:
     """The rows with <value>_ratio, the value over the median of the positive values of all rows (or of the rows of the same keys)."""
     middle = df.groupBy(*(keys or [])).agg(*[F.median(F.when(F.col(v) > 0, F.col(v))).alias(f"_m_{v}") for v in values])
-    joined = df.join(F.broadcast(middle), keys) if keys else df.join(F.broadcast(middle))
+    # without keys it is one row
+    joined = df.join(middle, keys) if keys else df.join(F.broadcast(middle))
     return joined.select("*", *[(F.col(v) / F.when(F.col(f"_m_{v}") != 0, F.col(f"_m_{v}"))).alias(f"{v}_ratio") for v in values]).drop(*[f"_m_{v}" for v in values])
 
 

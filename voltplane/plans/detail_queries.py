@@ -56,14 +56,14 @@ def separate_windows(spark, d):
 
 @query(
     "value_at_frequency",
-    """WITH s AS (SELECT segment, freq_hz, avg(z_re) AS z FROM p WHERE freq_hz % 3 <> 1 GROUP BY ALL), b AS (SELECT segment, max(freq_hz) FILTER (WHERE freq_hz <= 31) AS f0, arg_max(z, freq_hz) FILTER (WHERE freq_hz <= 31) AS z0, min(freq_hz) FILTER (WHERE freq_hz >= 31) AS f1, arg_min(z, freq_hz) FILTER (WHERE freq_hz >= 31) AS z1 FROM s GROUP BY segment)
-    SELECT segment, round(CASE WHEN log10(f1 / f0) <= 1.0 / 3 THEN CASE WHEN f1 > f0 THEN z0 + (z1 - z0) * (ln(31) - ln(f0)) / (ln(f1) - ln(f0)) ELSE z0 END END, 6) AS re_at FROM b""",
+    """WITH s AS (SELECT segment, freq_hz, avg(z_re) AS z FROM p WHERE freq_hz > 0 GROUP BY ALL), b AS (SELECT segment, max(freq_hz) FILTER (WHERE freq_hz <= 31.5) AS f0, arg_max(z, freq_hz) FILTER (WHERE freq_hz <= 31.5) AS z0, min(freq_hz) FILTER (WHERE freq_hz >= 31.5) AS f1, arg_min(z, freq_hz) FILTER (WHERE freq_hz >= 31.5) AS z1 FROM s GROUP BY segment)
+    SELECT segment, round(CASE WHEN log10(f1 / f0) <= 1.0 / 3 THEN CASE WHEN f1 > f0 THEN z0 + (z1 - z0) * (ln(31.5) - ln(f0)) / (ln(f1) - ln(f0)) ELSE z0 END END, 6) AS re_at FROM b""",
 )
 def value_at_frequency(spark, d):
-    s = points(spark, d).where("freq_hz % 3 <> 1").groupBy("segment", "freq_hz").agg(F.avg("z_re").alias("z"))
-    low, high = F.when(F.col("freq_hz") <= 31, F.col("freq_hz")), F.when(F.col("freq_hz") >= 31, F.col("freq_hz"))
+    s = points(spark, d).where("freq_hz > 0").groupBy("segment", "freq_hz").agg(F.avg("z_re").alias("z"))
+    low, high = F.when(F.col("freq_hz") <= 31.5, F.col("freq_hz")), F.when(F.col("freq_hz") >= 31.5, F.col("freq_hz"))
     b = s.groupBy("segment").agg(F.max(low).alias("f0"), F.max_by("z", low).alias("z0"), F.min(high).alias("f1"), F.min_by("z", high).alias("z1"))
-    between = F.when(F.col("f1") > F.col("f0"), F.col("z0") + (F.col("z1") - F.col("z0")) * (math.log(31) - F.ln("f0")) / (F.ln("f1") - F.ln("f0"))).otherwise(F.col("z0"))
+    between = F.when(F.col("f1") > F.col("f0"), F.col("z0") + (F.col("z1") - F.col("z0")) * (math.log(31.5) - F.ln("f0")) / (F.ln("f1") - F.ln("f0"))).otherwise(F.col("z0"))
     return b.select("segment", F.round(F.when(F.log10(F.col("f1") / F.col("f0")) <= 1.0 / 3, between), 6).alias("re_at"))
 
 
@@ -138,15 +138,14 @@ def neighbour_contrast(spark, d):
 
 @query(
     "coverage_blocks",
-    """WITH s AS (SELECT DISTINCT segment FROM p WHERE segment % 11 <> 3 AND segment % 17 <> 5), i AS (SELECT segment, segment - row_number() OVER (ORDER BY segment) AS island FROM s)
-    SELECT min(segment) AS first, max(segment) AS last, count(*) AS n, CASE WHEN count(*) >= 9 THEN 'pass' WHEN count(*) >= 4 THEN 'warn' ELSE 'fail' END AS verdict FROM i GROUP BY island""",
+    """WITH s AS (SELECT segment // 50 AS plate, segment FROM p GROUP BY segment HAVING avg(snr_db) >= 19.9), i AS (SELECT plate, segment, segment - row_number() OVER (PARTITION BY plate ORDER BY segment) AS island FROM s)
+    SELECT plate, min(segment) AS first, max(segment) AS last, count(*) AS n, CASE WHEN count(*) >= 9 THEN 'pass' WHEN count(*) >= 4 THEN 'warn' ELSE 'fail' END AS verdict FROM i GROUP BY plate, island""",
 )
 def coverage_blocks(spark, d):
-    s = points(spark, d).select("segment").where("segment % 11 <> 3 AND segment % 17 <> 5").distinct()
-    # the segments of one plate are ranked in one task
-    island = F.col("segment") - F.row_number().over(Window.orderBy("segment"))
-    out = s.withColumn("island", island).groupBy("island").agg(F.min("segment").alias("first"), F.max("segment").alias("last"), F.count(F.lit(1)).alias("n"))
-    return out.select("first", "last", "n", F.when(F.col("n") >= 9, "pass").when(F.col("n") >= 4, "warn").otherwise("fail").alias("verdict"))
+    s = points(spark, d).groupBy("segment").agg(F.avg("snr_db").alias("snr")).where("snr >= 19.9").select(F.floor(F.col("segment") / 50).alias("plate"), "segment")
+    island = F.col("segment") - F.row_number().over(Window.partitionBy("plate").orderBy("segment"))
+    out = s.withColumn("island", island).groupBy("plate", "island").agg(F.min("segment").alias("first"), F.max("segment").alias("last"), F.count(F.lit(1)).alias("n"))
+    return out.select("plate", "first", "last", "n", F.when(F.col("n") >= 9, "pass").when(F.col("n") >= 4, "warn").otherwise("fail").alias("verdict"))
 
 
 @query(

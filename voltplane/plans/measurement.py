@@ -9,6 +9,8 @@ is one channel of one recording.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import math
 
 import numpy as np
@@ -141,20 +143,26 @@ def step_impedance(phasors: DataFrame, calibration: DataFrame, reference: str) -
 
 
 def card_delays(chunks: DataFrame, anchor: str, band: tuple[float, float] = (20.0, 4000.0)) -> DataFrame:
-    """(path, delay_s, error_s) of each recording's cell voltage against the anchor recording's: the cards' clocks.
+    """(path, delay_s, error_s, n_chunks) of each recording's cell voltage against the anchor recording's: the cards' clocks.
 
-    The anchor's channel is collected and broadcast: one channel of one recording.
+    Chunks of the same samples meet, so no task holds more than two of them; the delay is the median over a recording's chunks. Delays are short
+    against a chunk.
     """
-    rows = chunks.where((F.col("path") == anchor) & (F.col("role") == "cell_voltage")).orderBy("first_sample").toPandas()
-    ref = chunks.sparkSession.sparkContext.broadcast(_whole(rows))
-
-    def measure(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = _whole(pdf)
-        n = min(len(x), len(ref.value))
-        delay, error = numeric.estimate_delay(ref.value[:n], x[:n], float(pdf.fs.iloc[0]), band)
-        return pd.DataFrame([(pdf.path.iloc[0], delay, error)], columns=["path", "delay_s", "error_s"])
-
-    return chunks.where((F.col("path") != anchor) & (F.col("role") == "cell_voltage")).groupBy("path").applyInPandas(measure, "path string, delay_s double, error_s double")
+    voltage = chunks.where(F.col("role") == "cell_voltage").select("path", "first_sample", "fs", "samples")
+    ref = voltage.where(F.col("path") == anchor).select("first_sample", F.col("samples").alias("ref"))
+    pairs = voltage.where(F.col("path") != anchor).join(ref, "first_sample").select("path", "fs", "ref", "samples")
+
+    def measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            rows = []
+            for row in pdf.itertuples():
+                n = min(len(row.ref), len(row.samples))
+                if n >= 64:
+                    rows.append((row.path, *numeric.estimate_delay(np.asarray(row.ref[:n], float), np.asarray(row.samples[:n], float), float(row.fs), band)))
+            yield pd.DataFrame(rows, columns=["path", "delay_s", "error_s"]).astype({"delay_s": float, "error_s": float})
+
+    each = pairs.mapInPandas(measure, "path string, delay_s double, error_s double")
+    return each.groupBy("path").agg(F.median("delay_s").alias("delay_s"), (F.median("error_s") / F.sqrt(F.count(F.lit(1)))).alias("error_s"), F.count(F.lit(1)).alias("n_chunks"))
 
 
 def repeated_channels(chunks: DataFrame) -> DataFrame:

@@ -57,9 +57,11 @@ class Store:
         return f"{self.root}/{name}"
 
     def exists(self, name: str) -> bool:
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+        fs, path = self._files(name)
+        if fs.exists(path):
+            return True
+        aside, old = self._files(f"_{name}_old")
+        return aside.exists(old) and self._rename(f"_{name}_old", name)
 
     def read(self, name: str, where: str | None = None) -> DataFrame | None:
         if not self.exists(name):
@@ -83,15 +85,26 @@ class Store:
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(self.path(name))
 
     def _rewrite(self, name: str, rows: DataFrame) -> None:
-        aside = self.path(f"_{name}_new")
-        rows.write.mode("overwrite").partitionBy(*PARTITIONS).parquet(aside)
-        jvm = self.spark._jvm
-        new, old = jvm.org.apache.hadoop.fs.Path(aside), jvm.org.apache.hadoop.fs.Path(self.path(name))
-        fs = new.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        fs.delete(old, True)
-        fs.rename(new, old)
+        """Swaps the table for the rows: the old one stays aside until the new one stands, and `read` takes it back if a crash came between."""
+        rows.write.mode("overwrite").partitionBy(*PARTITIONS).parquet(self.path(f"_{name}_new"))
+        for a, b in ((name, f"_{name}_old"), (f"_{name}_new", name)):
+            if not self._rename(a, b):
+                raise OSError(f"can't rename {self.path(a)} to {self.path(b)}")
+        self._delete(f"_{name}_old")
         self.spark.catalog.refreshByPath(self.path(name))
 
+    def _files(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _rename(self, a: str, b: str) -> bool:
+        fs, path = self._files(a)
+        return fs.rename(path, self._files(b)[1])
+
+    def _delete(self, name: str) -> None:
+        fs, path = self._files(name)
+        fs.delete(path, True)
+
     def publish(self, key: dict[str, str], tables: dict[str, DataFrame], record: DataFrame) -> list[str]:
         """All result tables, then the row of `runs`: a run is there only once its results are."""
         for name, df in tables.items():

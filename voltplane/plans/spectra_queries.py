@@ -154,13 +154,13 @@ def sigma_from_snr(spark, d):
 
 @query(
     "interp_log",
-    """WITH s AS (SELECT card, freq_hz, avg(z_re) AS z FROM p WHERE (freq_hz % 4) = 0 GROUP BY ALL), g AS (SELECT c.card, f.f AS freq_hz FROM (SELECT DISTINCT card FROM p) c, (SELECT unnest([1.5, 6.0, 10.5, 40.0, 70.25, 100.0]::DOUBLE[]) AS f) f),
+    """WITH s AS (SELECT card, freq_hz, avg(z_re) AS z FROM p WHERE freq_hz > 0 GROUP BY ALL), g AS (SELECT c.card, f.f AS freq_hz FROM (SELECT DISTINCT card FROM p) c, (SELECT unnest([1.5, 6.0, 10.5, 40.0, 70.25, 100.0]::DOUBLE[]) AS f) f),
     b AS (SELECT g.*, s.freq_hz AS f0, s.z AS z0 FROM g ASOF LEFT JOIN s ON g.card = s.card AND g.freq_hz >= s.freq_hz), a AS (SELECT b.*, s.freq_hz AS f1, s.z AS z1 FROM b ASOF LEFT JOIN s ON b.card = s.card AND b.freq_hz <= s.freq_hz)
     SELECT card, freq_hz, round(CASE WHEN f0 IS NULL THEN z1 WHEN f1 IS NULL THEN z0 WHEN f1 > f0 THEN z0 + (z1 - z0) * (ln(freq_hz) - ln(f0)) / (ln(f1) - ln(f0)) ELSE z0 END, 6) AS z FROM a""",
 )
 def interp_log(spark, d):
     p = points(spark, d)
-    known = p.where(F.col("freq_hz") % 4 == 0).groupBy("card", "freq_hz").agg(F.avg("z_re").alias("z"))
+    known = p.where("freq_hz > 0").groupBy("card", "freq_hz").agg(F.avg("z_re").alias("z"))
     grid = p.select("card").distinct().select("card", F.explode(F.array(*map(F.lit, (1.5, 6.0, 10.5, 40.0, 70.25, 100.0)))).alias("freq_hz"))
     return rounded(joins.interpolate_log(known, grid, ["card"], "freq_hz", ["z"]))
 
