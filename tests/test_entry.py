@@ -25,6 +25,12 @@ def test_imports_without_the_corpus_operators(tmp_path):
     assert done.returncode == 0, done.stderr
 
 
+def test_corpus_queries_go_where_one_of_their_libraries_is_missing():
+    code = "import sys; sys.modules['xxhash'] = None; import __spark_entry__ as e; q = e.queries(); assert 'plate_from_points' in q and 'op1_line_dedup' not in q; e.oracle_sql()"
+    done = subprocess.run([sys.executable, "-c", code], cwd=ROOT, env=os.environ | {"PYTHONPATH": str(ROOT)}, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
+
+
 def test_flagship(spark):
     import pytest
 
