@@ -327,11 +327,11 @@ def nominal_labels(spark, d):
 
 @query(
     "shunt_and_temperature",
-    "SELECT c_custkey, round(c_acctbal / 1000 / (0.5 + 1e-3 * c_nationkey * 60), 9) AS density, round((c_acctbal / 1000 - 0.1) / CASE WHEN c_nationkey <> 0 THEN c_nationkey / 50.0 END, 9) AS celsius FROM customer",
+    "SELECT c_custkey, round(c_acctbal / 1000 / (0.5 + 1e-3 * c_nationkey * 20 * pi() + 0.001 * pi()), 9) AS density, round((c_acctbal / 1000 - 0.1) / CASE WHEN c_nationkey <> 0 THEN c_nationkey / (16 * pi()) END, 9) AS celsius FROM customer",
 )
 def shunt_and_temperature(spark, d):
     volts, c1 = F.col("c_acctbal") / 1000, F.col("c_nationkey").cast("double")
-    return rounded(table(spark, d, "customer").select("c_custkey", impedance.current_density(volts, F.lit(0.5), c1, F.lit(60)).alias("density"), impedance.celsius(volts, F.lit(0.1), c1 / 50).alias("celsius")), 9)
+    return rounded(table(spark, d, "customer").select("c_custkey", impedance.current_density(volts, F.lit(0.5) + 0.001 * F.pi(), c1, 20 * F.pi()).alias("density"), impedance.celsius(volts, F.lit(0.1), c1 / (16 * F.pi())).alias("celsius")), 9)
 
 
 @query(
