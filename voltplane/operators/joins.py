@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,13 +69,24 @@ def state_at(times: DataFrame, log: DataFrame, keys: list[str], t: str, value: s
     return out.select(*times.columns, F.coalesce("_median", "_hold").alias(value), F.coalesce("n_near", F.lit(0)).alias("n_near"))
 
 
+def within_ratio(left: DataFrame, right: DataFrame, keys: list[str], x: str, y: str, tol: float) -> DataFrame:
+    """Pairs of equal keys with |y / x - 1| <= tol, for positive x and y: an equi-join on buckets of ln, so a row meets only those near it."""
+    width = -math.log(1 - tol) * (1 + 1e-9)
+    bucket = lambda c: F.floor(F.ln(c) / width)
+    spread = left.where(F.col(x) > 0).withColumn("_b", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda i: bucket(F.col(x)) + i)))
+    placed = right.where(F.col(y) > 0).withColumn("_b", bucket(F.col(y)))
+    return spread.join(placed, [*keys, "_b"]).where(F.abs(F.col(y) / F.col(x) - 1) <= tol).drop("_b")
+
+
 def nearest_interval(times: DataFrame, intervals: DataFrame, keys: list[str], t: str, start: str, stop: str, most_gap: float, values: list[str]) -> DataFrame:
     """The times with the interval that holds them or else the nearest within most_gap; null if none is, or if two are equally near.
 
-    Intervals are expected to be few for each key.
+    Intervals, longer by most_gap on both sides, meet the times of their buckets only (`in_ranges`).
     """
     gap = F.greatest(F.lit(0.0), F.col(start) - F.col(t), F.col(t) - F.col(stop))
-    rated = times.join(intervals, keys).withColumn("_gap", gap).where(F.col("_gap") <= most_gap)
+    # the range is open above, so it ends a gap later and the distance decides
+    reached = intervals.withColumn("_from", F.col(start) - most_gap).withColumn("_to", F.col(stop) + 2 * most_gap)
+    rated = in_ranges(times, reached, keys, t, "_from", "_to", 3 * most_gap).drop("_from", "_to").withColumn("_gap", gap).where(F.col("_gap") <= most_gap)
     best = Window.partitionBy(*[c for c in times.columns])
     rated = rated.withColumn("_least", F.min("_gap").over(best)).where(F.col("_gap") == F.col("_least"))
     picked = rated.groupBy(*times.columns).agg(F.count(F.lit(1)).alias("n_nearest"), *[F.min(v).alias(v) for v in values], F.min("_gap").alias("gap"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .windows import before
+
 #: sigma of a normal distribution is 1.4826 MAD; MAD is 0.6745 sigma.
 MAD_SIGMA, SIGMA_MAD = 1.4826, 0.6745
 
@@ -26,26 +28,27 @@ def sorted_percentile(values: Column, q: float) -> Column:
 
 def modified_z(df: DataFrame, group: list[str], value: str) -> DataFrame:
     """The rows with median, sigma (MAD / 0.6745, else half the range) and z of their group; null z where a group has under two values or no spread."""
-    centre = df.groupBy(*group).agg(F.median(value).alias("median"), F.count(value).alias("n_values"), ((F.max(value) - F.min(value)) / 2).alias("half_range"))
-    marked = df.join(centre, group)
-    spread = marked.groupBy(*group).agg(F.median(F.abs(F.col(value) - F.col("median"))).alias("mad"))
+    whole = Window.partitionBy(*group)
+    marked = df.select("*", F.median(value).over(whole).alias("median"), F.count(value).over(whole).alias("n_values"), ((F.max(value).over(whole) - F.min(value).over(whole)) / 2).alias("half_range"))
+    marked = marked.withColumn("mad", F.median(F.abs(F.col(value) - F.col("median"))).over(whole))
     sigma = F.when(F.col("mad") > 0, F.col("mad") / SIGMA_MAD).when(F.col("half_range") > 0, F.col("half_range"))
-    return marked.join(spread, group).withColumn("sigma", sigma).withColumn("z", F.when(F.col("n_values") >= 2, (F.col(value) - F.col("median")) / F.col("sigma"))).drop("mad", "half_range", "n_values")
+    return marked.withColumn("sigma", sigma).withColumn("z", F.when(F.col("n_values") >= 2, (F.col(value) - F.col("median")) / F.col("sigma"))).drop("mad", "half_range", "n_values")
 
 
 def moving_outliers(df: DataFrame, group: list[str], order: list[str], value: str, half: int = 2, n_mad: float = 4.0, floor: float = 0.02, least: int = 5) -> DataFrame:
     """The rows with `resid`, the value less the median of the neighbours within half a window (itself left out), and `outlier`.
 
     A residual is an outlier beyond n_mad times 1.4826 MAD of the group's residuals, with a floor on that scale. Groups below `least` rows have none.
+    All windows are over the same keys, so the rows are shuffled once.
     """
-    w = Window.partitionBy(*group).orderBy(*order)
+    whole = Window.partitionBy(*group)
+    w = whole.orderBy(*order)
     around = F.concat(F.collect_list(value).over(w.rowsBetween(-half, -1)), F.collect_list(value).over(w.rowsBetween(1, half)))
     resid = df.withColumn("resid", F.col(value) - F.coalesce(sorted_median(around), F.col(value)))
-    centre = resid.groupBy(*group).agg(F.median("resid").alias("_centre"), F.count(F.lit(1)).alias("_n"))
-    marked = resid.join(centre, group)
-    spread = marked.groupBy(*group).agg(F.median(F.abs(F.col("resid") - F.col("_centre"))).alias("_mad"))
+    marked = resid.withColumn("_centre", F.median("resid").over(whole)).withColumn("_n", F.count(F.lit(1)).over(whole))
+    marked = marked.withColumn("_mad", F.median(F.abs(F.col("resid") - F.col("_centre"))).over(whole))
     scale = F.greatest(F.lit(floor), MAD_SIGMA * F.col("_mad"))
-    return marked.join(spread, group).withColumn("outlier", (F.col("_n") >= least) & (F.abs("resid") > n_mad * scale)).drop("_centre", "_n", "_mad")
+    return marked.withColumn("outlier", (F.col("_n") >= least) & (F.abs("resid") > n_mad * scale)).drop("_centre", "_n", "_mad")
 
 
 def neighbour_level(df: DataFrame, group: list[str], order: list[str], value: str, half: int = 5, q: float = 0.75, least: int = 3) -> Column:
@@ -73,17 +76,37 @@ def limits(value: str, low: float = 0.02, high: float = 0.98) -> list[Column]:
     return [F.percentile(value, F.lit(low)).alias("low"), F.percentile(value, F.lit(high)).alias("high")]
 
 
-def quantisation_step(df: DataFrame, group: list[str], value: str, digits: int = 12) -> DataFrame:
-    """Per group the least positive difference of its distinct rounded values."""
-    w = Window.partitionBy(*group).orderBy("_v")
-    steps = df.select(*group, F.round(value, digits).alias("_v")).distinct().withColumn("_d", F.col("_v") - F.lag("_v").over(w))
+def quantiles(df: DataFrame, group: list[str], value: str, shares: list[float], bins: int = 4096) -> DataFrame:
+    """(group, share, quantile): exact quantiles, linear between order statistics, for groups of any size.
+
+    Equal values become one record with their count; records are counted in `bins` equal parts of the group's range; and only the parts that
+    hold a wanted rank are put in order. An aggregate percentile would hold all distinct values of a group in one task. Nulls and NaN are left out.
+    """
+    counted = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).groupBy(*group, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    span = counted.groupBy(*group).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.sum("_c").alias("_n"))
+    at = F.floor((F.col("_v") - F.col("_low")) / F.when(F.col("_high") > F.col("_low"), F.col("_high") - F.col("_low")) * bins)
+    binned = counted.join(span, group).withColumn("_bin", F.coalesce(F.least(at, F.lit(bins - 1)), F.lit(0)))
+    filled = binned.groupBy(*group, "_bin", "_n").agg(F.sum("_c").alias("_c"))
+    filled = filled.withColumn("_to", F.sum("_c").over(Window.partitionBy(*group).orderBy("_bin"))).withColumn("_from", F.col("_to") - F.col("_c"))
+    wanted = filled.withColumn("share", F.explode(F.array(*[F.lit(float(s)) for s in shares]))).withColumn("_at", F.col("share") * (F.col("_n") - 1))
+    ranks = wanted.withColumn("_rank", F.explode(F.array_distinct(F.array(F.floor("_at"), F.ceil("_at"))))).where("_rank >= _from AND _rank < _to")
+    some = binned.join(filled.select(*group, "_bin", "_from"), [*group, "_bin"]).join(ranks.select(*group, "_bin").distinct(), [*group, "_bin"], "left_semi")
+    some = some.withColumn("_end", F.col("_from") + F.sum("_c").over(Window.partitionBy(*group, "_bin").orderBy("_v"))).withColumn("_begin", F.col("_end") - F.col("_c"))
+    found = ranks.select(*group, "_bin", "share", "_at", "_rank").join(some.select(*group, "_bin", "_v", "_begin", "_end"), [*group, "_bin"]).where("_rank >= _begin AND _rank < _end")
+    low, high = F.min_by("_v", "_rank"), F.max_by("_v", "_rank")
+    return found.groupBy(*group, "share", "_at").agg((low + (high - low) * (F.col("_at") - F.floor("_at"))).alias("quantile")).drop("_at")
+
+
+def quantisation_step(df: DataFrame, group: list[str], value: str, digits: int = 12, bucket: float | None = None) -> DataFrame:
+    """Per group the least positive difference of its distinct rounded values; they are put in order in parts of `bucket` in value."""
+    values = df.select(*group, F.round(value, digits).alias("_v")).distinct()
+    steps = before(values, group, ["_v"], ["_v"], F.lit(0) if bucket is None else F.floor(F.col("_v") / bucket)).withColumn("_d", F.col("_v") - F.col("_before._v"))
     return steps.groupBy(*group).agg(F.min(F.when(F.col("_d") > 0, F.col("_d"))).alias("step"), F.count(F.lit(1)).alias("n_levels"))
 
 
-def regularity(df: DataFrame, group: list[str], t: str, jitter: float = 1e-3, gap: float = 1.5) -> DataFrame:
-    """Per group: median step, jitter (1.4826 MAD / median), largest step / median, and whether the sampling is uniform."""
-    w = Window.partitionBy(*group).orderBy(t)
-    steps = df.withColumn("_dt", F.col(t) - F.lag(t).over(w)).where(F.col("_dt").isNotNull())
+def regularity(df: DataFrame, group: list[str], t: str, jitter: float = 1e-3, gap: float = 1.5, bucket: Column | None = None) -> DataFrame:
+    """Per group: median step, jitter (1.4826 MAD / median), largest step / median, and whether the sampling is uniform. bucket: parts of t that steps are taken in."""
+    steps = before(df, group, [t], [t], F.lit(0) if bucket is None else bucket).withColumn("_dt", F.col(t) - F.col(f"_before.{t}")).where(F.col("_dt").isNotNull())
     middle = steps.groupBy(*group).agg(F.median("_dt").alias("dt"), F.max("_dt").alias("_most"))
     out = steps.join(middle, group).groupBy(*group, "dt", "_most").agg(F.median(F.abs(F.col("_dt") - F.col("dt"))).alias("_mad"))
     positive = F.when(F.col("dt") > 0, F.col("dt"))

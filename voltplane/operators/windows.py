@@ -10,11 +10,31 @@ def _by(group: list[str], *order) -> Window:
     return Window.partitionBy(*group).orderBy(*order)
 
 
-def runs_of_true(df: DataFrame, group: list[str], order: list[str], flag: Column) -> DataFrame:
-    """(group, first, last, n_rows) of each run of rows in order whose flag is true; first and last are row numbers from 1."""
-    w = _by(group, *order)
-    numbered = df.select(*group, *order, F.coalesce(flag, F.lit(False)).alias("_f")).withColumn("_n", F.row_number().over(w))
-    on = numbered.where("_f").withColumn("_island", F.col("_n") - F.row_number().over(w))
+def before(df: DataFrame, group: list[str], order: list[str], values: list[str], bucket: Column) -> DataFrame:
+    """The rows with `_before`, a struct of the values in the row before, in tasks of a group's bucket instead of a whole group.
+
+    bucket never falls along the order. The last row of each bucket, one record, is carried over to the group's next one. Keys aren't null.
+    """
+    held = F.struct(*values)
+    rows = df.withColumn("_bucket", bucket)
+    last = rows.groupBy(*group, "_bucket").agg(F.max_by(held, F.struct(*order)).alias("_carried"))
+    last = last.withColumn("_carried", F.lag("_carried").over(_by(group, "_bucket")))
+    inside = rows.withColumn("_before", F.lag(held).over(_by([*group, "_bucket"], *order)))
+    return inside.join(last, [*group, "_bucket"], "left").withColumn("_before", F.coalesce("_before", "_carried")).drop("_bucket", "_carried")
+
+
+def runs_of_true(df: DataFrame, group: list[str], order: list[str], flag: Column, bucket: Column | None = None) -> DataFrame:
+    """(group, first, last, n_rows) of each run of rows in order whose flag is true; first and last are row numbers from 1.
+
+    Rows are numbered within buckets, which never fall along the order, and the counts of earlier buckets are added: no task holds a whole group.
+    """
+    rows = df.withColumn("_bucket", F.lit(0) if bucket is None else bucket).select(*group, "_bucket", *[c for c in order if c not in group], F.coalesce(flag, F.lit(False)).alias("_f"))
+    sizes = rows.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_all"), F.count_if("_f").alias("_on"))
+    earlier = _by(group, "_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(*group, "_bucket", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(c) for c in ("_all", "_on")])
+    w = _by([*group, "_bucket"], *order)
+    rows = rows.withColumn("_n", F.row_number().over(w)).withColumn("_k", F.count_if("_f").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    on = rows.where("_f").join(sizes, [*group, "_bucket"]).withColumn("_n", F.col("_n") + F.col("_all")).withColumn("_island", F.col("_n") - F.col("_k") - F.col("_on"))
     return on.groupBy(*group, "_island").agg(F.min("_n").alias("first"), F.max("_n").alias("last"), F.count(F.lit(1)).alias("n_rows")).drop("_island")
 
 
@@ -42,11 +62,10 @@ def decimate(df: DataFrame, group: list[str], t: str, value: str, bucket: Column
     return low.unionByName(high).distinct()
 
 
-def repeats_and_gaps(df: DataFrame, group: list[str], t: str, value: str, gap: float) -> DataFrame:
-    """Per group: samples, repeated times, repeats with another value, gaps above `gap`, and the longest one."""
-    w = _by(group, t, value)
-    before, held = F.lag(t).over(w), F.lag(value).over(w)
-    marked = df.select(*group, (F.col(t) - before).alias("_dt"), (F.col(value) != held).alias("_other"))
+def repeats_and_gaps(df: DataFrame, group: list[str], t: str, value: str, gap: float, bucket: Column | None = None) -> DataFrame:
+    """Per group: samples, repeated times, repeats with another value, gaps above `gap`, and the longest one. bucket as in `before`, over t."""
+    marked = before(df, group, [t, value], [t, value], F.lit(0) if bucket is None else bucket)
+    marked = marked.select(*group, (F.col(t) - F.col(f"_before.{t}")).alias("_dt"), (F.col(value) != F.col(f"_before.{value}")).alias("_other"))
     return marked.groupBy(*group).agg(
         F.count(F.lit(1)).alias("n_samples"),
         F.count_if(F.col("_dt") == 0).alias("n_repeats"),

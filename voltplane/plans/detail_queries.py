@@ -1,4 +1,4 @@
-"""Smaller operators of the evaluation: gains with a fallback, overlaps, ladders, intercepts, alignment, renumbering, noise backgrounds."""
+"""Smaller operators of the evaluation: gains with a fallback, overlaps, ladders, intercepts, alignment, renumbering."""
 
 from __future__ import annotations
 
@@ -22,7 +22,7 @@ def gain_with_fallback(spark, d):
     own = p.where("segment % 3 = 0").groupBy("segment", "freq_hz").agg(F.avg("thd").alias("own"))
     shared = p.groupBy("freq_hz").agg(F.avg("thd").alias("shared"))
     values = p.groupBy("segment", "freq_hz").agg(F.avg("z_re").alias("z"))
-    out = values.join(own, ["segment", "freq_hz"], "left").join(F.broadcast(shared), "freq_hz", "left")
+    out = values.join(own, ["segment", "freq_hz"], "left").join(shared, "freq_hz", "left")
     return out.select("segment", "freq_hz", F.round(F.col("z") / (1 + F.coalesce("own", "shared")), 6).alias("z"))
 
 
@@ -101,7 +101,7 @@ def timeline_align(spark, d):
     e = events(spark, d).where("value > 5")
     s = e.where("card = 'click'").select("segment", F.col("t_us").alias("ts"), F.col("value").alias("fs"))
     log = e.where("card = 'view'").select("segment", F.col("t_us").alias("tl"), F.col("value").alias("fl"))
-    votes = s.join(log, "segment").where(F.abs(F.col("fl") / F.col("fs") - 1) <= 0.03).select("segment", ((F.col("tl") - F.col("ts")) / 1e6).alias("gap"))
+    votes = joins.within_ratio(s, log, ["segment"], "fs", "fl", 0.03).select("segment", ((F.col("tl") - F.col("ts")) / 1e6).alias("gap"))
     offset = votes.groupBy("segment").agg(F.median("gap").alias("off"), F.count(F.lit(1)).alias("n_voters")).where("n_voters >= 5")
     spread = votes.join(offset, "segment").groupBy("segment").agg((F.median(F.abs(F.col("gap") - F.col("off"))) * 1.4826).alias("spread"))
     out = offset.join(spread, "segment")
@@ -116,7 +116,7 @@ def timeline_align(spark, d):
 def renumber_nearest_centroid(spark, d):
     centre = pads(spark, d).groupBy("segment").agg(F.avg("col").alias("x"), F.avg("row").alias("y"))
     turned = centre.select((F.col("segment") + 100).alias("other"), (44 - F.col("x") + F.col("segment") % 2).alias("x2"), (19 - F.col("y")).alias("y2"))
-    # a plate has 72 segments at most
+    # pads() has 36 segments, whatever the table's size
     pairs = centre.join(F.broadcast(turned), F.lit(True))
     away = F.round(F.sqrt(F.pow(F.col("x") - F.col("x2"), 2) + F.pow(F.col("y") - F.col("y2"), 2)), 9)
     return joins.nearest(pairs, ["segment"], away, ["other"]).select("segment", "other", F.round("distance", 6).alias("distance"))
@@ -130,6 +130,7 @@ def renumber_nearest_centroid(spark, d):
 def neighbour_contrast(spark, d):
     v = pads(spark, d).groupBy("segment").agg(F.avg("col").alias("x"), F.avg("row").alias("y"), F.avg("p_size").alias("v"))
     other = v.select(F.col("segment").alias("s2"), F.col("x").alias("x2"), F.col("y").alias("y2"), F.col("v").alias("v2"))
+    # pads() has 36 segments, whatever the table's size
     pairs = v.join(F.broadcast(other), F.col("segment") != F.col("s2"))
     away = F.round(F.pow(F.col("x") - F.col("x2"), 2) + F.pow(F.col("y") - F.col("y2"), 2), 9)
     near = joins.nearest(pairs, ["segment", "v"], away, ["s2", "v2"])

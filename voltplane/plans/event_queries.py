@@ -23,11 +23,11 @@ def seconds(df, digits: int = 6):
     SELECT card, count(*) AS n_segments, round(sum(1.0 + segment % 5) / sum((1.0 + segment % 5) / r), 6) AS r_plate, sum(n_kept)::BIGINT AS n_kept, sum(n_outliers)::BIGINT AS n_outliers FROM a WHERE r > 0 GROUP BY card""",
 )
 def plate_from_points(spark, d):
-    e = events(spark, d)
-    mid = e.groupBy("card", "segment").agg(F.median("value").alias("mid"))
-    marked = e.join(mid, ["card", "segment"])
-    mad = marked.groupBy("card", "segment").agg(F.median(F.abs(F.col("value") - F.col("mid"))).alias("mad"))
-    kept = gates.ledger(marked.join(mad, ["card", "segment"]), [("too_small", F.col("value") > 0.05), ("outlier", F.abs(F.col("value") - F.col("mid")) <= 4 * robust.MAD_SIGMA * F.col("mad"))])
+    channel = Window.partitionBy("card", "segment")
+    # one shuffle by channel serves both medians and the aggregate
+    marked = events(spark, d).select("card", "segment", "value", F.median("value").over(channel).alias("mid"))
+    marked = marked.withColumn("mad", F.median(F.abs(F.col("value") - F.col("mid"))).over(channel))
+    kept = gates.ledger(marked, [("too_small", F.col("value") > 0.05), ("outlier", F.abs(F.col("value") - F.col("mid")) <= 4 * robust.MAD_SIGMA * F.col("mad"))])
     segments = kept.groupBy("card", "segment").agg(F.median(F.when(F.col("kept"), F.col("value"))).alias("r"), F.count_if("kept").alias("n_kept"), F.count_if(F.col("reason") == "outlier").alias("n_outliers")).where("r > 0")
     area = 1.0 + F.col("segment") % 5
     return segments.groupBy("card").agg(F.count(F.lit(1)).alias("n_segments"), F.round(F.sum(area) / F.sum(area / F.col("r")), 6).alias("r_plate"), F.sum("n_kept").alias("n_kept"), F.sum("n_outliers").alias("n_outliers"))
@@ -132,7 +132,7 @@ def closure_triplets(spark, d):
     SELECT card, min(n) AS first, max(n) AS last, count(*) AS n_rows FROM i GROUP BY card, island""",
 )
 def runs_of_true(spark, d):
-    out = windows.runs_of_true(events(spark, d), ["card"], ["t_us", "event_id"], F.col("value") > 20)
+    out = windows.runs_of_true(events(spark, d), ["card"], ["t_us", "event_id"], F.col("value") > 20, F.floor(F.col("t_us") / DAY))
     return out.select("card", F.col("first").cast("long").alias("first"), F.col("last").cast("long").alias("last"), "n_rows")
 
 
@@ -152,7 +152,7 @@ def decimate_minmax(spark, d):
 )
 def sample_repeats_gaps(spark, d):
     e = events(spark, d).withColumn("t", F.floor(F.col("t_us") / 60_000_000))
-    return windows.repeats_and_gaps(e, ["card"], "t", "value", 60)
+    return windows.repeats_and_gaps(e, ["card"], "t", "value", 60, F.floor(F.col("t") / 1440))
 
 
 @query(
@@ -275,7 +275,8 @@ def stationarity_halves(spark, d):
 
 @query("robust_limits", "SELECT card, round(quantile_cont(value, 0.02), 9) AS low, round(quantile_cont(value, 0.98), 9) AS high FROM e GROUP BY card")
 def robust_limits(spark, d):
-    return rounded(events(spark, d).groupBy("card").agg(*robust.limits("value")), 9)
+    q = robust.quantiles(events(spark, d), ["card"], "value", [0.02, 0.98])
+    return rounded(q.groupBy("card").agg(*[F.max(F.when(F.col("share") == s, F.col("quantile"))).alias(name) for s, name in ((0.02, "low"), (0.98, "high"))]), 9)
 
 
 @query(
@@ -284,7 +285,7 @@ def robust_limits(spark, d):
     SELECT card, mid AS dt, round(1.4826 * mad / mid, 9) AS jitter, round(most / mid, 9) AS max_gap, (1.4826 * mad / mid < 0.001 AND most / mid < 1.5) AS uniform FROM j""",
 )
 def regularity_jitter(spark, d):
-    out = robust.regularity(events(spark, d), ["card"], "t_us")
+    out = robust.regularity(events(spark, d), ["card"], "t_us", bucket=F.floor(F.col("t_us") / DAY))
     return out.select("card", "dt", F.round("jitter", 9).alias("jitter"), F.round("max_gap", 9).alias("max_gap"), "uniform")
 
 
@@ -293,12 +294,14 @@ def regularity_jitter(spark, d):
     "WITH v AS (SELECT DISTINCT card, round(value, 12) AS v FROM e), s AS (SELECT card, v - lag(v) OVER (PARTITION BY card ORDER BY v) AS d FROM v) SELECT card, round(min(d) FILTER (WHERE d > 0), 9) AS step, count(*) AS n_levels FROM s GROUP BY card",
 )
 def quantisation_step(spark, d):
-    return rounded(robust.quantisation_step(events(spark, d), ["card"], "value"), 9)
+    return rounded(robust.quantisation_step(events(spark, d), ["card"], "value", bucket=1.0), 9)
 
 
 @query("finite_stats", "SELECT card, count(value) AS n, round(avg(value), 9) AS mean, round(stddev_pop(value), 9) AS sd, round(stddev_pop(value) / avg(value), 9) AS cv, min(value) AS min, max(value) AS max, median(value) AS median FROM e GROUP BY card")
 def finite_stats(spark, d):
-    return rounded(events(spark, d).groupBy("card").agg(*robust.finite_stats("value")), 9)
+    e = events(spark, d)
+    middle = robust.quantiles(e, ["card"], "value", [0.5]).select("card", F.col("quantile").alias("median"))
+    return rounded(e.groupBy("card").agg(*robust.finite_stats("value")[:-1]).join(middle, "card", "left"), 9)
 
 
 @query(
