@@ -45,4 +45,20 @@ def test_same_rows_as_sql(spark, db, name):
 
 
 def test_all_have_sql_or_are_models():
-    assert set(plans.QUERIES) - set(plans.SQL) == {"lin_kk", "drt_nnls", "ecm_fit", "z_hit", "gcc_phat", "gp_field"}
+    assert set(plans.QUERIES) - set(plans.SQL) == {"lin_kk", "drt_nnls", "ecm_fit", "z_hit", "gcc_phat", "gp_field", "collapsed_windows"}
+
+
+def test_collapsed_windows_against_every_pair(spark):
+    """What stays overlaps nothing that stays, and what went has a better one in its way."""
+    from voltplane.operators import numeric
+
+    rows = plans.response_queries.dwells(spark, SF).toPandas()
+    kept = plans.QUERIES["collapsed_windows"](spark, SF).toPandas()
+    assert 0 < len(kept) < len(rows) and set(kept.plate) == set(rows.plate)
+    for _, g in kept.groupby("plate"):
+        f, a, b, snr = (g[c].to_numpy(float) for c in ("f", "start", "stop", "snr"))
+        for i in range(len(g)):
+            for j in range(i):
+                assert min(b[i], b[j]) - max(a[i], a[j]) <= 0.5 * min(b[i] - a[i], b[j] - a[j])
+                assert max(f[i], f[j]) > 1.02 * min(f[i], f[j])
+        assert numeric.kept_windows(f, a, b, snr).all()

@@ -320,3 +320,105 @@ def field(x: np.ndarray, v: np.ndarray, sd: np.ndarray, at: np.ndarray, scales:
     _, sx, sy, low, a = best
     cross = np.linalg.solve(low, power * matern(x, at, sx * extent[0], sy * extent[1]))
     return mean + cross.T @ a, np.sqrt(np.maximum(power - (cross**2).sum(0), 0))
+
+
+def thin_plate(x: np.ndarray, v: np.ndarray, at: np.ndarray, clip: float = 15.0) -> tuple[np.ndarray, str]:
+    """Values at other places from a few sensors, and how: a thin-plate spline from four, a plane from three, else their mean; kept within `clip` of the sensors' range."""
+    if len(x) < 3:
+        return np.full(len(at), v.mean() if len(v) else np.nan), "mean" if len(v) else "none"
+    flat = np.concatenate((np.ones((len(x), 1)), x), axis=1)
+    there = np.concatenate((np.ones((len(at), 1)), at), axis=1)
+    if len(x) == 3:
+        out, how = there @ np.linalg.lstsq(flat, v, rcond=None)[0], "plane"
+    else:
+        k = _plate_kernel(x, x)
+        whole = np.block([[k, flat], [flat.T, np.zeros((3, 3))]])
+        weights = np.linalg.lstsq(whole, np.concatenate((v, np.zeros(3))), rcond=None)[0]
+        out, how = _plate_kernel(at, x) @ weights[:-3] + there @ weights[-3:], "spline"
+    return np.clip(out, v.min() - clip, v.max() + clip), how
+
+
+def _plate_kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    square = ((a[:, None] - b[None]) ** 2).sum(-1)
+    return 0.5 * square * np.log(np.maximum(square, 1e-300))
+
+
+# ---- schedules and pairs of channels --------------------------------------------------------------------------------------------------
+
+
+def kept_windows(f: np.ndarray, start: np.ndarray, stop: np.ndarray, snr: np.ndarray, near: float = 0.02, most_overlap: float = 0.5) -> np.ndarray:
+    """Which windows stay: of neighbours in frequency within `near` the one with the higher SNR; then, from the highest SNR down, those that
+    overlap no earlier one by more than a share of the shorter of both. Of equals the lower frequency, then the earlier place, stays."""
+    order = np.lexsort((np.arange(len(f)), f))
+    best: list[int] = []
+    for i in order:
+        if best and f[i] <= f[best[-1]] * (1 + near):
+            if snr[i] > snr[best[-1]]:
+                best[-1] = i
+        else:
+            best.append(i)
+    kept: list[int] = []
+    for i in sorted(best, key=lambda i: -snr[i]):
+        held = np.array(kept, int)
+        shared = np.minimum(stop[i], stop[held]) - np.maximum(start[i], start[held])
+        if not (shared > most_overlap * np.minimum(stop[i] - start[i], stop[held] - start[held])).any():
+            kept.append(i)
+    out = np.zeros(len(f), bool)
+    out[kept] = True
+    return out
+
+
+def joint_sine(ref: np.ndarray, x: np.ndarray, fs: float, f0: float, steps: int = 12) -> tuple[float, complex, complex]:
+    """One frequency for both channels, and their amplitudes at it: the frequency's step is the mean of both linearised fits, by their power."""
+    t, f = np.arange(len(ref)) / fs, f0
+    for _ in range(steps):
+        c, s = np.cos(TWO_PI * f * t), np.sin(TWO_PI * f * t)
+        base = np.stack((c, s, np.ones_like(t), t - t.mean()), axis=1)
+        up = down = 0.0
+        for y in (ref, x):
+            a, b = np.linalg.lstsq(base, y, rcond=None)[0][:2]
+            tangent = t * (b * c - a * s)
+            tangent = tangent - base @ np.linalg.lstsq(base, tangent, rcond=None)[0]
+            up, down = up + tangent @ y, down + tangent @ tangent
+        change = np.clip(up / max(down, 1e-300) / TWO_PI, -0.05 * f, 0.05 * f)
+        f += change
+        if abs(change) < 1e-9 * f:
+            break
+    return float(f), complex(sine_fit(ref, t, np.array([f]))[0][0]), complex(sine_fit(x, t, np.array([f]))[0][0])
+
+
+def causal_delay(f: np.ndarray, z: np.ndarray, bound: float = 2e-7, n: int = 81, elements: int = 8) -> tuple[float, float]:
+    """The delay within +-bound that a Voigt chain of so many elements explains best when it is taken out of z, and the RMS residual left, relative to |z|."""
+    w, size = TWO_PI * f, np.abs(z)
+    tau = np.logspace(np.log10(1 / w.max()), np.log10(1 / w.min()), elements)
+    design = np.concatenate((np.ones((len(f), 1)), 1 / (1 + 1j * w[:, None] * tau)), axis=1) / size[:, None]
+    both = np.concatenate((design.real, design.imag))
+    q = np.linalg.qr(both)[0]
+    best = (np.inf, 0.0)
+    for d in np.linspace(-bound, bound, n):
+        y = z * np.exp(1j * w * d) / size
+        y = np.concatenate((y.real, y.imag))
+        best = min(best, (float(np.sqrt(np.mean((y - q @ (q.T @ y)) ** 2))), float(d)))
+    return best[1], best[0]
+
+
+def relaxation_posterior(f: np.ndarray, z: np.ndarray, noise: float = 0.01, width: float = 0.5, per_decade: int = 8) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Relaxation times under a smooth Gaussian prior: (tau, non-negative mode, standard deviation, series resistance).
+
+    The prior is a squared exponential over ln tau of that width; the mode is the non-negative least-squares solution of data and prior together.
+    """
+    w, size = TWO_PI * f, np.abs(z)
+    tau = np.logspace(np.log10(1 / w.max()), np.log10(1 / w.min()), max(8, int(per_decade * np.log10(f.max() / f.min()))))
+    step = np.log(tau[1] / tau[0])
+    kernel = step / (1 + 1j * w[:, None] * tau)
+    a = np.concatenate((kernel.real, kernel.imag)) / np.tile(size * noise, 2)[:, None]
+    one = np.concatenate((np.ones(len(f)), np.zeros(len(f)))) / np.tile(size * noise, 2)
+    y = np.concatenate((z.real, z.imag)) / np.tile(size * noise, 2)
+    scale = max(float(np.ptp(z.real)), 1e-12)
+    gap = np.log(tau)[:, None] - np.log(tau)
+    prior = scale**2 * np.exp(-0.5 * (gap / width) ** 2) + 1e-6 * scale**2 * np.eye(len(tau))
+    root = np.linalg.inv(np.linalg.cholesky(prior))
+    rows = np.concatenate((np.concatenate((a, one[:, None]), axis=1), np.concatenate((root, np.zeros((len(tau), 1))), axis=1)))
+    x = nnls(rows, np.concatenate((y, np.zeros(len(tau)))))
+    spread = np.sqrt(np.maximum(np.diag(np.linalg.pinv(rows.T @ rows)), 0))
+    return tau, x[:-1], spread[:-1], float(x[-1])

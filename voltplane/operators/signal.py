@@ -95,3 +95,12 @@ def level_gate(frames: DataFrame, group: list[str], level: str, k: float = 4.0,
     marked = marked.join(spread, group).withColumn("_ok", F.abs(F.col(level) - F.col("_m")) <= k * 1.4826 * F.col("_s"))
     share = marked.groupBy(*group).agg(F.avg(F.when(F.col("_ok"), 0.0).otherwise(1.0)).alias("_out"))
     return marked.join(share, group).withColumn("accepted", F.col("_ok") | (F.col("_out") > most)).drop("_m", "_s", "_ok", "_out")
+
+
+def background(frames: DataFrame, group: list, window: str, cycles: int, n: int, away: tuple[int, ...]) -> DataFrame:
+    """(group, n_windows, background): the coherent amplitude at so many cycles in windows of n samples, less the mean power of the bins `away` on both sides; 0 below it."""
+    power = lambda k: sum((x * x for x in dft(F.col(window), k)), F.lit(0.0)) * 4 / (n * n)
+    off = [cycles + side * k for k in away for side in (-1, 1)]
+    each = frames.select(*group, power(cycles).alias("_own"), (sum((power(k) for k in off), F.lit(0.0)) / len(off)).alias("_off"))
+    keys = [c for c in each.columns if not c.startswith("_")]
+    return each.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_windows"), F.sqrt(F.greatest(F.lit(0.0), F.avg("_own") - F.avg("_off"))).alias("background"))
