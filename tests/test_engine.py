@@ -160,3 +160,65 @@ def test_a_table_is_not_lost_between_the_renames_of_a_rewrite(spark, tmp_path):
     # a wider type rewrites the table
     store.upsert("t", publish.tidy(spark.createDataFrame([(2.5,)], "v double"), dict.fromkeys(publish.PARTITIONS, "m")))
     assert sorted(r.v for r in store.read("t").collect()) == [1.0, 2.5]
+
+
+def test_logger_points_gains_and_areas(spark, tmp_path):
+    def put(name, body):
+        (tmp_path / name).write_text(body, encoding="utf-8")
+        return str(tmp_path / name)
+
+    point = put("p.csv", "\ufefftimestamp\tseg_1\ttemp_1\tUC\ntimeshifts\t0\t10.5\t21\n2024.01.01 00:00:01,500000\t0.5\t65\t0.7\n2024.01.01 00:00:02,000000\t0.6\t66\tx\n")
+    rows = {(r.t, r.channel): r for r in texts.point_files(spark, point).collect()}
+    assert len(rows) == 6 and rows[(0.5, "seg_1")].value == 0.6 and rows[(0.5, "UC")].value is None and rows[(0.0, "UC")].shift_s == pytest.approx(21e-6)
+    assert rows[(0.0, "temp_1")].unit == "degC" and rows[(0.0, "seg_1")].role == "segment" and rows[(0.0, "seg_1")].unit is None
+    assert texts.point_files(spark, put("q.csv", "timestamp\ta\n2024.01.01 00:00:01\t1\n")).count() == 0
+    gain = texts.gain_table(spark, put("g.csv", "# a note\nsegment,freq_hz,gain_real,gain_imag\nall;10;1;0\n7,20,0.9,-0.1\n7,x,1,1\n8,1\n"))
+    assert sorted(map(tuple, gain.collect()), key=repr) == [(7, 20.0, 0.9, -0.1), (None, 10.0, 1.0, 0.0)]
+    texts.write_gain_table(gain, str(tmp_path / "out"))
+    assert sorted(map(tuple, texts.gain_table(spark, str(tmp_path / "out")).collect()), key=repr) == sorted(map(tuple, gain.collect()), key=repr)
+    assert [tuple(r) for r in texts.area_table(spark, put("a.csv", "segment,area_cm2\n1,2.5\n2,0\n")).collect()] == [(1, 2.5)]
+    sweeps = spark.createDataFrame([("a", 1, 10.0, 0.5, -0.1), ("a", 0, 100.0, 0.4, -0.2), ("b", 0, 1.0, 0.3, 0.0)], "sweep string, point int, freq_hz double, z_re double, z_im double")
+    texts.write_potentiostat(sweeps, str(tmp_path / "dta"))
+    back = texts.potentiostat(spark, str(tmp_path / "dta")).withColumn("sweep", F.regexp_extract("path", "sweep=([a-z])", 1))
+    assert sorted(map(tuple, back.select(sweeps.columns).collect())) == sorted(map(tuple, sweeps.collect()))
+    publish.write_json(sweeps.select("sweep", F.lit(None).cast("int").alias("none")).distinct(), str(tmp_path / "json"))
+    assert sorted(map(str, (r.value for r in spark.read.text(str(tmp_path / "json")).collect()))) == ['{"sweep":"a","none":null}', '{"sweep":"b","none":null}']
+
+
+def test_recordings_by_uri_in_many_spans(spark, tmp_path):
+    samples = np.arange(30000, dtype="<f4").reshape(10000, 3)
+    recordings.write_recording(str(tmp_path / "r.DAT"), ["1", "2", "UC"], samples, 1000.0)
+    recordings.register(spark)
+    df = spark.read.format("recording").option("chunk", 100).option("chunksPerTask", 7).load(f"file://{tmp_path}/*.DAT")
+    assert df.rdd.getNumPartitions() > 10
+    rows = df.where("channel = '2'").orderBy("first_sample").collect()
+    assert [r.first_sample for r in rows] == list(range(0, 10000, 100)) and (np.concatenate([r.samples for r in rows]) == samples[:, 1]).all()
+
+
+def test_exact_quantiles_and_carried_rows(spark):
+    from voltplane.operators import robust
+
+    rng = np.random.default_rng(5)
+    rows = [("a", float(x)) for x in rng.normal(size=999)] + [("b", 7.0)] * 50 + [("c", float(x)) for x in rng.integers(0, 4, 200)] + [("c", None), ("d", 1.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    shares = [0.0, 0.02, 0.5, 0.98, 1.0]
+    got = {(r.k, r.share): r.quantile for r in robust.quantiles(df, ["k"], "v", shares, bins=16).collect()}
+    for k in "abcd":
+        mine = [v for key, v in rows if key == k and v is not None]
+        for s in shares:
+            assert got[(k, s)] == pytest.approx(np.quantile(mine, s), abs=1e-12)
+    ordered = spark.createDataFrame([("a", i, bool(i % 7 not in (0, 3))) for i in range(60)], "k string, t int, on boolean")
+    one = windows.runs_of_true(ordered, ["k"], ["t"], F.col("on"))
+    many = windows.runs_of_true(ordered, ["k"], ["t"], F.col("on"), F.floor(F.col("t") / 4))
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect())) and one.count() > 15
+    prior = {r.t: r._before.t if r._before else None for r in windows.before(ordered, ["k"], ["t"], ["t"], F.floor(F.col("t") / 4)).collect()}
+    assert prior == {i: i - 1 if i else None for i in range(60)}
+
+
+def test_pairs_within_a_ratio(spark):
+    rng = np.random.default_rng(6)
+    x, y = np.exp(rng.uniform(-2, 2, 80)), np.exp(rng.uniform(-2, 2, 80))
+    left = spark.createDataFrame([("k", float(v)) for v in [*x, 1.0, 1.0]], "k string, x double")
+    right = spark.createDataFrame([("k", float(v)) for v in [*y, 0.97, 1.03]], "k string, y double")
+    got = sorted((r.x, r.y) for r in joins.within_ratio(left, right, ["k"], "x", "y", 0.03).collect())
+    assert got == sorted((float(a), float(b)) for a in [*x, 1.0, 1.0] for b in [*y, 0.97, 1.03] if abs(b / a - 1) <= 0.03)

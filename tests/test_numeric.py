@@ -83,3 +83,53 @@ def test_field_keeps_to_its_values():
     v = np.sin(x[:, 0]) + 0.1 * x[:, 1]
     mean, sd = numeric.field(x, v, np.full(40, 1e-3), np.vstack((x, [[500.0, 500.0]])))
     assert np.abs(mean[:-1] - v).max() < 0.05 and sd[-1] > sd[:-1].max() and mean[-1] == pytest.approx(v.mean(), abs=1e-3)
+
+
+def test_one_frequency_for_both_channels():
+    fs, t = 1000.0, np.arange(600) / 1000.0
+    ref = 2 * np.cos(2 * np.pi * 33.3 * t + 0.4) + 0.01 * RNG.normal(size=600)
+    x = 0.5 * np.cos(2 * np.pi * 33.3 * t + 1.1) + 0.2 + 0.01 * RNG.normal(size=600)
+    f, a, b = numeric.joint_sine(ref, x, fs, 33.0)
+    assert f == pytest.approx(33.3, abs=2e-3) and abs(b / a) == pytest.approx(0.25, rel=0.01) and np.angle(b / a) == pytest.approx(0.7, abs=0.01)
+
+
+def test_delay_that_makes_a_spectrum_causal():
+    f = np.logspace(1, 4.5, 60)
+    z = 0.05 + 0.01 / (1 + 2j * np.pi * f * 1e-3)
+    for true in (0.0, 1e-7, -1.5e-7):
+        found, left = numeric.causal_delay(f, z * np.exp(-2j * np.pi * f * true), elements=12)
+        assert found == pytest.approx(true, abs=1e-8) and left < 1e-3
+
+
+def test_relaxation_posterior():
+    f, z = spectrum(1e-3)
+    tau, gamma, sd, series = numeric.relaxation_posterior(f, z, noise=2e-3)
+    assert (gamma >= 0).all() and series == pytest.approx(0.05, rel=0.02) and tau[np.argmax(gamma)] == pytest.approx(1e-2, rel=0.4)
+    assert gamma.sum() * np.log(tau[1] / tau[0]) == pytest.approx(0.01, rel=0.15) and (sd > 0).all()
+
+
+def test_thin_plate():
+    x, at = RNG.uniform(0, 10, (12, 2)), RNG.uniform(0, 10, (5, 2))
+    v = 60 + x @ np.array([1.0, -0.5])
+    value, how = numeric.thin_plate(x, v, np.vstack((x, at)))
+    assert how == "spline" and value == pytest.approx(60 + np.vstack((x, at)) @ np.array([1.0, -0.5]), abs=1e-6)
+    bent = v + np.sin(x[:, 0])
+    assert numeric.thin_plate(x, bent, x)[0] == pytest.approx(bent, abs=1e-6)
+    value, how = numeric.thin_plate(x[:3], v[:3], at)
+    assert how == "plane" and value == pytest.approx(np.clip(60 + at @ np.array([1.0, -0.5]), v[:3].min() - 15, v[:3].max() + 15), abs=1e-6)
+    assert numeric.thin_plate(x[:2], v[:2], at) [0] == pytest.approx(v[:2].mean()) and numeric.thin_plate(x[:0], v[:0], at)[1] == "none"
+
+
+def test_kept_windows_against_every_order():
+    """One window stays of each run of near frequencies, and one that goes overlaps a kept one with a higher level."""
+    for _ in range(50):
+        n = int(RNG.integers(0, 25))
+        f = np.exp(RNG.uniform(0, 2, n))
+        a = RNG.uniform(0, 100, n)
+        b, snr = a + RNG.uniform(1, 30, n), RNG.permutation(n).astype(float)
+        kept = np.flatnonzero(numeric.kept_windows(f, a, b, snr))
+        clash = lambda i, j: min(b[i], b[j]) - max(a[i], a[j]) > 0.5 * min(b[i] - a[i], b[j] - a[j])
+        assert not any(clash(i, j) for i in kept for j in kept if i < j)
+        for i in set(range(n)) - set(kept.tolist()):
+            near = [j for j in range(n) if j != i and abs(np.log(f[i] / f[j])) <= np.log(1.02) and snr[j] > snr[i]]
+            assert near or any(clash(i, j) and snr[j] > snr[i] for j in kept)

@@ -45,7 +45,7 @@ def test_same_rows_as_sql(spark, db, name):
 
 
 def test_all_have_sql_or_are_models():
-    assert set(plans.QUERIES) - set(plans.SQL) == {"lin_kk", "drt_nnls", "ecm_fit", "z_hit", "gcc_phat", "gp_field", "collapsed_windows"}
+    assert set(plans.QUERIES) - set(plans.SQL) == {"lin_kk", "drt_nnls", "ecm_fit", "z_hit", "gcc_phat", "gp_field", "collapsed_windows", "temperature_field"}
 
 
 def test_collapsed_windows_against_every_pair(spark):
@@ -62,3 +62,19 @@ def test_collapsed_windows_against_every_pair(spark):
                 assert min(b[i], b[j]) - max(a[i], a[j]) <= 0.5 * min(b[i] - a[i], b[j] - a[j])
                 assert max(f[i], f[j]) > 1.02 * min(f[i], f[j])
         assert numeric.kept_windows(f, a, b, snr).all()
+
+
+def test_models_find_the_known_parts(spark):
+    ecm = plans.QUERIES["ecm_fit"](spark, SF).toPandas()
+    assert len(ecm) == spark.read.parquet(f"{SF}/embeddings.parquet").count()
+    assert (abs(ecm.r_ohmic / 0.05 - 1) < 0.02).mean() > 0.95
+    kk = plans.QUERIES["lin_kk"](spark, SF).toPandas()
+    assert kk.consistent.mean() > 0.95 and set(kk.vec_id) == set(ecm.vec_id)
+    lag = plans.QUERIES["gcc_phat"](spark, SF).toPandas()
+    assert (abs(lag.tau_s - lag.true_s) < 1e-3).mean() > 0.95
+
+
+def test_temperature_field(spark):
+    out = plans.QUERIES["temperature_field"](spark, SF).toPandas()
+    assert len(out) == 25 * 36 and out.celsius.notna().all()
+    assert (out[out.how == "none"].celsius == 65).all() and out.celsius.between(-15, 135).all()

@@ -8,21 +8,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import numeric
-from .registry import query
+from .registry import query, table
 from .table_queries import pads, windows_of
 
 
 def spectra_of_vectors(spark, d) -> DataFrame:
-    """Synthetic spectra with known parts, a vector each: R + zarc on 24 frequencies, with the vector's values as relative noise."""
+    """Synthetic spectra with known parts, a vector each: R + zarc, with all the vector's values as relative noise of real and imaginary parts."""
     return windows_of(spark, d).select("vec_id", "w")
 
 
 def known_spectrum(vec_id: int, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    f = np.logspace(0, 4, 24)
+    n = len(w) // 2
+    f = np.logspace(0, 4, n)
     r, tau = 0.01 + 0.001 * (vec_id % 7), 10.0 ** (-2 - (vec_id % 3) * 0.5)
     z = 0.05 + r / (1 + (2j * np.pi * f * tau) ** 0.9)
-    noise = 1e-3 * np.resize(w, 48)
-    return f, z * (1 + noise[:24] + 1j * noise[24:])
+    return f, z * (1 + 1e-3 * (w[:n] + 1j * w[n : 2 * n]))
 
 
 def per_vector(df: DataFrame, f, schema: str) -> DataFrame:
@@ -78,8 +78,7 @@ def gcc_phat(spark, d):
 
     def fit(i, w):
         lag = i % 5
-        long = np.resize(w, 64)
-        tau, sharp = numeric.gcc_phat(long[8:56], long[8 - lag : 56 - lag], 1000.0, most_lag=0.01, strong=0.0)
+        tau, sharp = numeric.gcc_phat(w, np.roll(w, lag), 1000.0, most_lag=0.01, strong=0.0)
         return [(i, lag / 1000.0, tau, min(sharp, 1e6))]
 
     return per_vector(windows_of(spark, d).select("vec_id", "w"), fit, "vec_id long, true_s double, tau_s double, sharpness double")
@@ -99,3 +98,21 @@ def gp_field(spark, d):
 
     # a plate has 72 segments at most: one group is one plate
     return tiles.withColumn("plate", F.lit("gen1")).groupBy("plate").applyInPandas(fill, "segment long, value double, sd double, class string")
+
+
+@query("temperature_field")
+def temperature_field(spark, d):
+    """Sensors of a plate within 0 to 120 degrees, as a surface read at the centres of its 36 segments; without a sensor 65 degrees, flagged."""
+    s = table(spark, d, "supplier").select(F.col("s_nationkey").alias("plate"), (F.col("s_suppkey") % 45).alias("x"), (F.floor(F.col("s_suppkey") / 45) % 20).alias("y"), (F.col("s_acctbal") / 80 + 20).alias("t"))
+    # sensors sit on the pads: 900 places a plate at most, whatever the number of rows
+    places = s.where("t > 0 AND t < 120").groupBy("plate", "x", "y").agg(F.avg("t").alias("t"))
+    plates = table(spark, d, "nation").select(F.col("n_nationkey").alias("plate")).join(places, "plate", "left")
+    centres = np.array([(5 * c + 2, 5 * r + 2) for c in range(9) for r in range(4)], float)
+
+    def read(pdf: pd.DataFrame) -> pd.DataFrame:
+        have = pdf[pdf.t.notna()].sort_values(["x", "y"])
+        value, how = numeric.thin_plate(have[["x", "y"]].to_numpy(float), have.t.to_numpy(float), centres)
+        value = np.full(len(centres), 65.0) if how == "none" else value
+        return pd.DataFrame({"plate": pdf.plate.iloc[0], "segment": np.arange(len(centres)), "celsius": value, "how": how})
+
+    return plates.groupBy("plate").applyInPandas(read, "plate long, segment long, celsius double, how string")

@@ -138,3 +138,8 @@ def plan(found: DataFrame, published: DataFrame, key: str, digest: str = "digest
     out = found.join(known, key, "left")
     out = out.withColumn("action", F.when(F.col("_there").isNull(), "new").when(~F.col(digest).eqNullSafe(F.col("_known")), "changed").otherwise("skip")).drop("_known", "_there")
     return out if most is None else out.where("action <> 'skip'").orderBy(key).limit(most)
+
+
+def write_json(rows: DataFrame, path: str) -> None:
+    """Results as JSON lines, one file a task; columns that are null in a row are written as null."""
+    rows.write.mode("overwrite").option("ignoreNullFields", False).json(path)

@@ -7,18 +7,19 @@ that is cut off keeps its whole frames; a header that contradicts itself is an e
     spark.dataSource.register(RecordingSource)
     spark.read.format("recording").option("chunk", 65536).option("channels", "1,2,UC3").load("/data/*.DAT")
 
-Each file is cut into ranges of frames that are read by different tasks; only the named channels are kept.
+Paths are local or URIs of any store that pyarrow knows (s3, gs, hdfs, ...), with wildcards in the last part. Files are cut into ranges of bytes by
+their sizes alone; the task of a range reads the header and those chunks that begin in it. Only the named channels are kept.
 """
 
 from __future__ import annotations
 
-import glob
-import os
+import fnmatch
 import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs as stores
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -58,9 +59,25 @@ def parse_header(head: bytes, file_size: int) -> Header:
     return Header(interval, names, found.get(b"NT", [b""])[0].decode("latin-1"), offset, min(payload, max(0, file_size - offset)) // (4 * count))
 
 
+def _store(path: str) -> tuple[stores.FileSystem, str]:
+    return stores.FileSystem.from_uri(path) if re.match(r"[a-z0-9]+:/", path) else (stores.LocalFileSystem(), path)
+
+
+def sizes(path: str) -> list[tuple[str, int]]:
+    """(path, bytes) of the files that a path with wildcards in its last part stands for, by one listing of its folder."""
+    store, inner = _store(path)
+    folder, _, name = inner.rpartition("/")
+    if not any(c in name for c in "*?["):
+        return [(path, store.get_file_info(inner).size)]
+    start = path[: len(path) - len(name)]
+    found = store.get_file_info(stores.FileSelector(folder or "/"))
+    return sorted((start + f.base_name, f.size) for f in found if f.is_file and fnmatch.fnmatchcase(f.base_name, name))
+
+
 def read_header(path: str, most: int = 1 << 20) -> Header:
-    with open(path, "rb") as f:
-        return parse_header(f.read(most), os.path.getsize(path))
+    store, inner = _store(path)
+    with store.open_input_file(inner) as f:
+        return parse_header(f.read(most), f.size())
 
 
 def role(name: str) -> str:
@@ -82,38 +99,45 @@ def write_recording(path: str, names: list[str], samples: np.ndarray, fs: float,
 @dataclass
 class Span(InputPartition):
     path: str
-    first: int
+    #: bytes
+    begin: int
     end: int
 
 
 class RecordingReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
-        self.paths = sorted(glob.glob(options["path"])) if any(c in options["path"] for c in "*?[") else [options["path"]]
+        self.path = options["path"]
         self.chunk = int(options.get("chunk", 65536))
         self.per_task = max(1, int(options.get("chunksPerTask", 64)))
         self.channels = [c.strip() for c in options["channels"].split(",")] if "channels" in options else None
 
     def partitions(self) -> list[Span]:
-        spans = []
-        for path in self.paths:
-            n, step = read_header(path).n_frames, self.chunk * self.per_task
-            spans += [Span(path, a, min(a + step, n)) for a in range(0, n, step)] or [Span(path, 0, 0)]
-        return spans
+        # as many bytes as the chunks of one channel take
+        step = max(self.per_task * self.chunk * 4, 1 << 10)
+        return [Span(path, at, min(at + step, size)) for path, size in sizes(self.path) for at in range(0, size, step)]
 
     def read(self, partition: Span):
-        h = read_header(partition.path)
-        width = len(h.channels)
-        wanted = [i for i, c in enumerate(h.channels) if self.channels is None or c in self.channels]
-        for first in range(partition.first, partition.end, self.chunk):
-            n = min(self.chunk, partition.end - first)
-            block = np.memmap(partition.path, "<f4", "r", h.offset + 4 * width * first, (n, width))
-            for i in wanted:
-                column = pa.array([np.ascontiguousarray(block[:, i])], pa.list_(pa.float32()))
-                name = h.channels[i]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x], t) for x, t in ((partition.path, pa.string()), (name, pa.string()), (role(name), pa.string()), (1 / h.interval, pa.float64()), (h.start, pa.string()), (first, pa.int64()))] + [column],
-                    names=["path", "channel", "role", "fs", "start", "first_sample", "samples"],
-                )
+        store, inner = _store(partition.path)
+        with store.open_input_file(inner) as f:
+            h = parse_header(f.read(1 << 20), f.size())
+            width = len(h.channels)
+            wanted = [i for i, c in enumerate(h.channels) if self.channels is None or c in self.channels]
+            stride = 4 * width * self.chunk
+            # the first chunk that begins in the span
+            k = max(0, -(-(partition.begin - h.offset) // stride))
+            while h.offset + k * stride < partition.end and k * self.chunk < h.n_frames:
+                first = k * self.chunk
+                n = min(self.chunk, h.n_frames - first)
+                f.seek(h.offset + k * stride)
+                block = np.frombuffer(f.read(4 * width * n), "<f4").reshape(n, width)
+                for i in wanted:
+                    column = pa.array([np.ascontiguousarray(block[:, i])], pa.list_(pa.float32()))
+                    name = h.channels[i]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([x], t) for x, t in ((partition.path, pa.string()), (name, pa.string()), (role(name), pa.string()), (1 / h.interval, pa.float64()), (h.start, pa.string()), (first, pa.int64()))] + [column],
+                        names=["path", "channel", "role", "fs", "start", "first_sample", "samples"],
+                    )
+                k += 1
 
 
 class RecordingSource(DataSource):

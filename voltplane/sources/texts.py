@@ -100,7 +100,7 @@ def potentiostat(spark: SparkSession, path: str) -> DataFrame:
     """(path, point, freq_hz, z_re, z_im) of the ZCURVE table of `.DTA` files."""
     numbered = lines(spark, path)
     start = numbered.where(F.col("line").startswith("ZCURVE")).groupBy("path").agg(F.min("line_no").alias("begin"))
-    header = numbered.join(start, "path").where(F.col("line_no") == F.col("begin") + 1).select("path", F.transform(F.split("line", "\t"), F.trim).alias("names"))
+    header = numbered.join(start, "path").where(F.col("line_no") == F.col("begin") + 1).select("path", F.transform(F.split("line", "\t"), lambda c: F.trim(c)).alias("names"))
     rows = numbered.join(start, "path").where(F.col("line_no") > F.col("begin") + 2).join(header, "path").withColumn("cells", F.split("line", "\t"))
     cell = lambda name: number(F.get("cells", F.array_position("names", name).cast("int") - 1))
     return rows.select("path", cell("Pt").cast("int").alias("point"), cell("Freq").alias("freq_hz"), cell("Zreal").alias("z_re"), cell("Zimag").alias("z_im")).where("freq_hz IS NOT NULL")
@@ -141,3 +141,59 @@ def magic(spark: SparkSession, path: str, n: int = 16) -> DataFrame:
     for name, start in kinds.items():
         kind = F.when(F.substring(head, 1, len(start)) == F.lit(bytearray(start)), F.lit(name)).otherwise(kind)
     return spark.read.format("binaryFile").load(path).select("path", "length", kind.alias("kind"))
+
+
+def point_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, t, channel, role, value, shift_s, unit) of logger point files: tab-separated, `timestamp` and the channels' names in the first line, `timeshifts` and
+    each channel's acquisition instant within a row, in microseconds, in the second.
+
+    t counts from a file's first row, in seconds. Temperatures are degrees where the median over a file's sensors of their medians is above 15, else volts.
+    Files without both header lines have no rows.
+    """
+    cells = lines(spark, path).where(F.trim("line") != "").select("path", "line_no", F.transform(F.split("line", "\t"), lambda c: F.trim(c)).alias("cells"))
+    first = F.lower(F.ltrim(F.get("cells", F.lit(0)), F.lit("\ufeff")))
+    head = cells.where((F.col("line_no") < 2) & first.isin("timestamp", "timeshifts")).groupBy("path").agg(F.max(F.when(first == "timestamp", F.col("cells"))).alias("names"), F.max(F.when(first == "timeshifts", F.col("cells"))).alias("shifts"))
+    head = head.where((F.size("names") == F.size("shifts")) & (F.size("names") > 1))
+    instant = F.unix_micros(F.try_to_timestamp(F.regexp_replace(F.get("cells", F.lit(0)), ",", "."), F.lit("yyyy.MM.dd HH:mm:ss[.SSSSSS][.SSS]")))
+    rows = cells.where("line_no > 1").join(head, "path").withColumn("at", instant).where("at IS NOT NULL")
+    zipped = F.slice(F.arrays_zip("names", "shifts", "cells"), F.lit(2), F.size("names") - 1)
+    tall = rows.select("path", "at", F.explode(zipped).alias("c")).select("path", "at", F.col("c.names").alias("channel"), number(F.col("c.shifts")).alias("shift"), number(F.col("c.cells")).alias("value"))
+    role = F.when(F.col("channel").rlike(r"(?i)^(s|seg|segment)?[ _]?\d+$"), "segment").when(F.lower("channel").startswith("temp"), "temperature").otherwise("other")
+    tall = tall.withColumn("role", role)
+    begun = tall.groupBy("path").agg(F.min("at").alias("begin"))
+    warm = tall.where("role = 'temperature'").groupBy("path", "channel").agg(F.median("value").alias("m")).groupBy("path").agg(F.when(F.median("m") > 15, "degC").otherwise("V").alias("warm"))
+    out = tall.join(begun, "path").join(warm, "path", "left")
+    unit = F.when(F.col("role") == "temperature", F.col("warm"))
+    return out.select("path", ((F.col("at") - F.col("begin")) / 1e6).alias("t"), "channel", "role", "value", (F.col("shift") / 1e6).alias("shift_s"), unit.alias("unit"))
+
+
+def _cells_of(spark: SparkSession, path: str) -> DataFrame:
+    return lines(spark, path).where(~F.trim("line").startswith("#")).select(F.filter(F.transform(F.split("line", r"[;,\t]"), lambda c: F.trim(c)), lambda x: x != "").alias("cells"))
+
+
+def gain_table(spark: SparkSession, path: str) -> DataFrame:
+    """(segment, freq_hz, re, im) of a chain's response; segment is null for the curve that all share (`all` or `0`). Headers and unreadable lines are left out."""
+    cell = lambda i: F.get("cells", F.lit(i))
+    read = _cells_of(spark, path).select(F.lower(cell(0)).alias("s"), *[cell(i).try_cast("double").alias(n) for i, n in ((1, "freq_hz"), (2, "re"), (3, "im"))]).where("freq_hz IS NOT NULL AND re IS NOT NULL AND im IS NOT NULL")
+    own = F.when(~F.col("s").isin("all", "0"), F.col("s").try_cast("int"))
+    return read.where(F.col("s").isin("all", "0") | own.isNotNull()).select(own.alias("segment"), "freq_hz", "re", "im")
+
+
+def area_table(spark: SparkSession, path: str) -> DataFrame:
+    """(segment, area_cm2) of a table of areas, those above 0 only."""
+    read = _cells_of(spark, path).select(F.get("cells", F.lit(0)).try_cast("int").alias("segment"), F.get("cells", F.lit(1)).try_cast("double").alias("area_cm2"))
+    return read.where("segment IS NOT NULL AND area_cm2 > 0")
+
+
+def write_gain_table(gains: DataFrame, path: str) -> None:
+    """Writes (segment, freq_hz, re, im) as gain_table() reads it; a null segment is `all`."""
+    rows = gains.select(F.coalesce(F.col("segment").cast("string"), F.lit("all")).alias("segment"), "freq_hz", F.col("re").alias("gain_real"), F.col("im").alias("gain_imag"))
+    rows.write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_potentiostat(sweeps: DataFrame, path: str) -> None:
+    """Writes a file with a ZCURVE table, as potentiostat() reads it, for each `sweep`: (sweep, point, freq_hz, z_re, z_im). A sweep has some hundred points."""
+    line = F.concat_ws("\t", F.lit(""), *[F.col(c).cast("string") for c in ("point", "freq_hz", "z_re", "z_im")])
+    body = sweeps.groupBy("sweep").agg(F.array_sort(F.collect_list(F.struct("point", line.alias("line")))).alias("rows"))
+    head = "EXPLAIN\nTAG\tEISGALV\nZCURVE\tTABLE\n\tPt\tFreq\tZreal\tZimag\n\t#\tHz\tohm\tohm\n"
+    body.select("sweep", F.concat(F.lit(head), F.array_join(F.transform("rows", lambda r: r["line"]), "\n")).alias("value")).write.mode("overwrite").partitionBy("sweep").text(path)
