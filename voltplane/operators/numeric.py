@@ -210,23 +210,39 @@ def sine_frequency(y: np.ndarray, fs: float, f0: float, steps: int = 12) -> tupl
 # ---- models of spectra -----------------------------------------------------------------------------------------------------------------
 
 
-def kramers_kronig(f: np.ndarray, z: np.ndarray, mu_limit: float = 0.85, most: int | None = None) -> tuple[int, float, float, np.ndarray]:
-    """A Voigt chain with fixed time constants, as many as it takes until their signs alternate: (elements, mu, largest residual %, model)."""
+def _voigt(f: np.ndarray, z: np.ndarray, m: int) -> tuple[float, np.ndarray]:
+    """How far the resistances of a chain of m fixed time constants, with a series resistance and an inductance, keep one sign (1: all); and the chain's spectrum."""
     w, size = TWO_PI * f, np.abs(z)
-    best = None
-    for m in range(3, (most or max(4, len(f) // 2)) + 1):
-        tau = np.logspace(np.log10(1 / w.max()), np.log10(1 / w.min()), m)
-        design = np.concatenate((np.ones((len(f), 1)), 1 / (1 + 1j * w[:, None] * tau), 1j * w[:, None] / w.max()), axis=1)
-        both = np.concatenate((design.real / size[:, None], design.imag / size[:, None]))
-        p = np.linalg.lstsq(both, np.concatenate((z.real / size, z.imag / size)), rcond=None)[0]
-        r = p[1:-1]
-        up = np.abs(r[r >= 0]).sum()
-        mu = 1 - np.abs(r[r < 0]).sum() / up if up > 0 else 0.0
-        model = design @ p
-        best = m, float(mu), float(100 * np.max(np.abs(z - model) / size)), model
-        if mu < mu_limit:
-            break
-    return best
+    tau = np.geomspace(1 / w.max(), 1 / w.min(), m)
+    design = np.column_stack((np.ones(len(f)), 1j * w / w.max(), 1 / (1 + 1j * np.outer(w, tau))))
+    scaled, target = design / size[:, None], z / size
+    p = np.linalg.lstsq(np.vstack((scaled.real, scaled.imag)), np.concatenate((target.real, target.imag)), rcond=None)[0]
+    plus, minus = np.clip(p[2:], 0, None).sum(), np.clip(-p[2:], 0, None).sum()
+    return float(1 - minus / plus) if plus > 0 else 0.0, design @ p
+
+
+def kramers_kronig(f: np.ndarray, z: np.ndarray, mu_limit: float = 0.85, most: int | None = None) -> tuple[int, float, float, np.ndarray]:
+    """The Voigt chain that a Kramers-Kronig consistent spectrum follows: (elements, mu, largest residual %, model).
+
+    As many elements as keep mu, the share by which their resistances agree in sign, at mu_limit or above: chains of fewer leave structure, chains
+    of more follow the noise. Numbers from an element a decade on, which is the least that a spectrum needs, are doubled; between the largest of
+    them that mu allows and the next the number is found by halving. Where mu allows none, the first is taken.
+    """
+    top = most or max(4, len(f) // 2)
+    rungs = [min(top, 1 + int(np.ceil(np.log10(f.max() / f.min()))))]
+    while rungs[-1] < top:
+        rungs.append(min(2 * rungs[-1], top))
+    tried = {m: _voigt(f, z, m) for m in rungs}
+    allowed = [m for m in rungs if tried[m][0] >= mu_limit]
+    low = high = allowed[-1] if allowed else rungs[0]
+    if allowed and low < top:
+        high = rungs[rungs.index(low) + 1]
+    while high - low > 1:
+        middle = (low + high) // 2
+        tried[middle] = _voigt(f, z, middle)
+        low, high = (middle, high) if tried[middle][0] >= mu_limit else (low, middle)
+    mu, model = tried[low]
+    return low, mu, float(100 * np.max(np.abs(z - model) / np.abs(z))), model
 
 
 def relaxation_times(f: np.ndarray, z: np.ndarray, ridge: float = 1e-3, per_decade: int = 10) -> tuple[np.ndarray, np.ndarray, float]:
