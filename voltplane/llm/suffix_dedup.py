@@ -28,7 +28,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .common import ALNUM_TABLE, binary_column, free_name, in_groups, in_parts, pack, pieces_for, segment_starts, utf8
 from .decontaminate import without_spans
@@ -280,6 +279,16 @@ def without_repeats(docs: DataFrame, n: int = 50, gram: int = 32, id_col: str =
     spans = _spans(found.where(F.col("other") < F.col("doc")), shards)
     spans_col, key = free_name(docs.columns, "spans"), free_name(docs.columns, "span_key")
     by_doc = spans.groupBy(F.col("doc_id").alias(key)).agg(F.array_sort(F.collect_list(F.array("first_word", F.col("first_word") + F.col("n_words")))).alias(spans_col))
-    cut = F.udf(lambda text, s: without_spans(text, s), T.StringType())
-    out = docs.join(by_doc, docs[id_col] == F.col(key), "left")
-    return out.withColumn(text_col, F.when(F.col(spans_col).isNotNull(), cut(F.col(text_col), F.col(spans_col))).otherwise(F.col(text_col))).select(*docs.columns)
+    columns, place = docs.columns, docs.columns.index(text_col)
+    out = docs.join(by_doc, docs[id_col] == F.col(key), "left").select(*columns, spans_col)
+
+    def cut() -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
+        def part(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            spans, kept = batch.column(spans_col).to_pylist(), [batch.column(c) for c in columns]
+            if any(spans):
+                kept[place] = pa.array(map(without_spans, kept[place].to_pylist(), spans), kept[place].type)
+            yield pa.RecordBatch.from_arrays(kept, names=columns)
+
+        return part
+
+    return out.mapInArrow(in_parts(cut, text_col), docs.schema)
