@@ -76,7 +76,7 @@ def limits(value: str, low: float = 0.02, high: float = 0.98) -> list[Column]:
     return [F.percentile(value, F.lit(low)).alias("low"), F.percentile(value, F.lit(high)).alias("high")]
 
 
-def quantiles(df: DataFrame, group: list[str], value: str, shares: list[float], bins: int = 4096) -> DataFrame:
+def quantiles(df: DataFrame, group: list[str], value: str, shares: list[float], bins: int = 512) -> DataFrame:
     """(group, share, quantile): exact quantiles, linear between order statistics, for groups of any size.
 
     Equal values become one record with their count; records are counted in `bins` equal parts of the group's range; and only the parts that

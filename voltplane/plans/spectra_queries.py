@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import aggregate, gates, joins, signal, windows
+from ..operators import aggregate, gates, joins, robust, signal, windows
 from .registry import points, query, rounded, table
 
 CELL_AREA = 300.0
@@ -56,7 +56,13 @@ def tier_grade(spark, d):
 
 @query("median_by_step", "SELECT freq_hz, median(z_re) AS re_median, median(z_im) AS im_median, count(DISTINCT segment) AS n_segments FROM p GROUP BY freq_hz HAVING count(DISTINCT segment) >= 50")
 def median_by_step(spark, d):
-    return points(spark, d).groupBy("freq_hz").agg(F.median("z_re").alias("re_median"), F.median("z_im").alias("im_median"), F.countDistinct("segment").alias("n_segments")).where("n_segments >= 50")
+    p = points(spark, d)
+    many = p.groupBy("freq_hz").agg(F.countDistinct("segment").alias("n_segments")).where("n_segments >= 50")
+    # few steps hold all rows, so their medians are taken by rank
+    parts = p.select("freq_hz", F.explode(F.array(*[F.struct(F.lit(c).alias("part"), F.col(c).alias("v")) for c in ("z_re", "z_im")])).alias("x")).select("freq_hz", "x.*")
+    middle = robust.quantiles(parts, ["freq_hz", "part"], "v", [0.5])
+    both = middle.groupBy("freq_hz").agg(*[F.max(F.when(F.col("part") == c, F.col("quantile"))).alias(name) for c, name in (("z_re", "re_median"), ("z_im", "im_median"))])
+    return both.join(many, "freq_hz").select("freq_hz", "re_median", "im_median", "n_segments")
 
 
 @query(
