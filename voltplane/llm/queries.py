@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, line_dedup, ngram_join
+from . import decontaminate, lexical_search, line_dedup, ngram_join
 from .common import read_table
 
 
@@ -78,6 +78,22 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read_table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .whitening import whitened
+
+    return whitened(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_online_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .online_packing import pack_online
+
+    return pack_online(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_license_scan": op2_license_scan,
@@ -89,6 +105,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_document_fingerprints": op8_document_fingerprints,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_ngram_join": op10_ngram_join,
+    "op11_whitening": op11_whitening,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_online_packing": op13_online_packing,
 }
 
-SQL: dict[str, str] = {"op1_line_dedup": line_dedup.SQL, "op7_decontaminate": decontaminate.SQL, "op10_ngram_join": ngram_join.SQL}
+SQL: dict[str, str] = {"op1_line_dedup": line_dedup.SQL, "op7_decontaminate": decontaminate.SQL, "op10_ngram_join": ngram_join.SQL, "op12_lexical_search": lexical_search.SQL}

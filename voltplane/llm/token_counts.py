@@ -30,19 +30,39 @@ from .common import in_parts, release, utf8
 LONGEST_KEPT = 64
 
 
-def split_pattern(spec: dict) -> str:
-    """The pattern of a byte-level BPE tokenizer's pre-tokenizer; raises for tokenizers of another kind."""
+def check_kind(spec: dict) -> None:
+    """Raises for tokenizers that don't cut texts by the byte-level pattern below."""
     pre = spec.get("pre_tokenizer") or {}
     if spec.get("normalizer") or spec["model"]["type"] != "BPE" or pre.get("type") != "ByteLevel" or not pre.get("use_regex") or pre.get("add_prefix_space"):
         raise ValueError("only byte-level BPE without a normalizer or a prefix blank can be counted by pre-tokens")
-    # fixed value: the pattern of the byte-level pre-tokenizer
-    return r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-#: The same cut for texts of Basic Latin to Latin Extended-B, where letters, digits and white space can be listed; the standard library cuts these faster.
-_L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾", " \t-\r\x85\xa0"
-LATIN = re.compile(rf" ?[{_L}]+| ?[{_N}]+|'(?:[stmd]|re|ve|ll)| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+").findall
+def _cut(letters: str, numbers: str, blanks: str) -> re.Pattern:
+    """The byte-level pattern (contractions, then runs of letters, numbers or others after a blank, then white space) over listed classes."""
+    return re.compile(rf" ?[{letters}]+| ?[{numbers}]+|'(?:[stmd]|re|ve|ll)| ?[^{blanks}{letters}{numbers}]+|[{blanks}]+(?![^{blanks}])|[{blanks}]+")
+
+
+#: Basic Latin to Latin Extended-B, where letters, digits and white space can be listed.
+LATIN = _cut("A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾", " \t-\r\x85\xa0").findall
 BEYOND_LATIN = re.compile("[^\x00-\u024f]").search
+#: The same cut for texts whose characters beyond ASCII are replaced by one of their class.
+BY_CLASS = _cut("A-Za-z", "0-9", " \t-\r").finditer
+
+
+class Classes(dict):
+    """Code point -> itself in ASCII, else a character that stands for its class: X letter, 9 number, tab white space, ! other.
+
+    The library itself is asked for the class of each code point, once a worker, so that its Unicode tables decide and no others.
+    """
+
+    def __init__(self, pre_tokenize):
+        super().__init__({c: chr(c) for c in range(128)})
+        self.pre_tokenize = pre_tokenize
+
+    def __missing__(self, code: int) -> str:
+        joined = lambda beside: len(self.pre_tokenize(f"{beside}{chr(code)}{beside}")) == 1
+        self[code] = "X" if joined("a") else "9" if joined("1") else "!" if joined("!") else "\t"
+        return self[code]
 
 
 #: Byte-level tokenizers write a byte as a character: visible ones of Latin-1 as they are, the others in order from U+0100 on.
@@ -55,13 +75,13 @@ def as_byte_chars(piece: str) -> str:
 
 
 class Lengths(dict):
-    """Pre-token -> number of tokens: a worker's cache above the broadcast table."""
+    """Pre-token -> number of tokens, or what else encode gives: a worker's cache above the broadcast table."""
 
-    def __init__(self, table: dict[str, int], encode, cache_size: int):
+    def __init__(self, table: dict, encode, cache_size: int):
         super().__init__(table)
         self.table, self.encode, self.cache_size = table, encode, cache_size
 
-    def __missing__(self, piece: str) -> int:
+    def __missing__(self, piece: str):
         n = self.encode(piece)
         if len(piece) <= LONGEST_KEPT:
             if len(self) >= self.cache_size:
@@ -71,38 +91,63 @@ class Lengths(dict):
         return n
 
 
-class Counter2Tier:
-    """Counts tokens with the tokenizer in a file; table: what packed_table() has made."""
+class PreTokens:
+    """The tokenizer in a file, taken apart: its special strings, its cut into pre-tokens and its model."""
 
-    def __init__(self, path: str, table: bytes = b"", cache_size: int = 1 << 18):
-        import regex
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.no_padding()
-        tokenizer.no_truncation()
         spec = json.loads(tokenizer.to_str())
-        specials = [x["content"] for x in spec["added_tokens"]]
+        check_kind(spec)
         if any(x["lstrip"] or x["rstrip"] or x["single_word"] for x in spec["added_tokens"]):
             raise ValueError("added tokens that take blanks along can't be counted by pre-tokens")
-        self.special = regex.compile("|".join(map(regex.escape, sorted(specials, key=len, reverse=True)))) if specials else None
-        self.specials = specials
-        self.by_pattern = regex.compile(split_pattern(spec)).findall
+        self.specials = {x["content"]: x["id"] for x in spec["added_tokens"]}
+        self.special = re.compile("(" + "|".join(map(re.escape, sorted(self.specials, key=len, reverse=True))) + ")") if self.specials else None
+        self.classes = Classes(tokenizer.pre_tokenizer.pre_tokenize_str)
         # a pre-token goes to the library's model at once, which spares the cut and the offsets of a whole encoding
         self.model = tokenizer.model
-        self.lengths = Lengths(unpacked_table(table), lambda piece: len(self.model.tokenize(as_byte_chars(piece))), cache_size)
+
+    def tokens(self, piece: str) -> list:
+        return self.model.tokenize(as_byte_chars(piece))
 
     def pieces(self, text: str) -> list[str]:
-        return self.by_pattern(text) if BEYOND_LATIN(text) else LATIN(text)
+        if not BEYOND_LATIN(text):
+            return LATIN(text)
+        return [text[m.start() : m.end()] for m in BY_CLASS(text.translate(self.classes))]
+
+    def parts(self, text: str) -> list[str]:
+        """The text between special strings at even places, the special strings at odd ones."""
+        return self.special.split(text) if self.special and any(x in text for x in self.specials) else [text]
+
+
+class Counter2Tier(PreTokens):
+    """Counts tokens; table: what packed_table() has made."""
+
+    def __init__(self, path: str, table: bytes = b"", cache_size: int = 1 << 18):
+        super().__init__(path)
+        self.lengths = Lengths(unpacked_table(table), lambda piece: len(self.tokens(piece)), cache_size)
 
     def count(self, text: str | None) -> int:
         if not text:
             return 0
         length = self.lengths.__getitem__
-        if self.special and any(x in text for x in self.specials):
-            parts = self.special.split(text)
-            return len(parts) - 1 + sum(sum(map(length, self.pieces(p))) for p in parts)
-        return sum(map(length, self.pieces(text)))
+        parts = self.parts(text)
+        return len(parts) // 2 + sum(sum(map(length, self.pieces(p))) for p in parts[::2])
+
+
+class TokenIds(PreTokens):
+    """Token ids as packed 32-bit integers, little end first, with a worker's cache of pre-tokens."""
+
+    def __init__(self, path: str, cache_size: int = 1 << 18):
+        super().__init__(path)
+        self.known = Lengths({}, lambda piece: b"".join(t.id.to_bytes(4, "little") for t in self.tokens(piece)), cache_size)
+
+    def packed(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        known = self.known.__getitem__
+        return b"".join(self.specials[p].to_bytes(4, "little") if i % 2 else b"".join(map(known, self.pieces(p))) for i, p in enumerate(self.parts(text)))
 
 
 def packed_table(lengths: dict[str, int]) -> bytes:
