@@ -5,6 +5,8 @@ each fill level. A document (its ids and the separator) longer than a window is
 which the sum of the squares of these numbers becomes least; of equal ones to the fullest. That keeps windows at many different levels, so later
 documents meet one that they fill up to the end.
 
+The ids of pre-tokens are cached in a worker, at most twice `cache_size` of them, and kept for its next task.
+
 Where many documents have sizes that never meet (say a third of them copies just over half a window), open windows would grow with the input. So at
 most `open_windows` are open at once: a document that no open window takes by then is cut, its head fills up a window of the most frequent level, and
 its tail goes on as a document of its own. A task thus holds the ids of that many windows and one batch, whatever the number of rows or equal rows.
@@ -144,14 +146,14 @@ class SquaresPacker:
                 filled -= part
 
 
-def pack_online(docs: DataFrame, tokenizer: str, window: int = 1024, separator: int = 0, open_windows: int = 512, text_col: str = "text", id_col: str = "doc_id", cache_size: int = 1 << 18) -> DataFrame:
+def pack_online(docs: DataFrame, tokenizer: str, window: int = 1024, separator: int = 0, open_windows: int = 512, text_col: str = "text", id_col: str = "doc_id", cache_size: int = 1 << 19) -> DataFrame:
     """One row a piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset. window: a power of two; tokenizer: its file, on every executor."""
     SquaresPacker(window, open_windows)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from .token_counts import TokenIds
+        from .token_counts import worker_ids
 
-        ids, packer, number = TokenIds(tokenizer, cache_size), SquaresPacker(window, open_windows), TaskContext.get().partitionId() << 40
+        ids, packer, number = worker_ids(tokenizer, cache_size), SquaresPacker(window, open_windows), TaskContext.get().partitionId() << 40
         end = np.array([separator], "<u4").tobytes()
 
         def finished() -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,7 @@ them. Two tiers look a pre-token up: first a broadcast compact table of the leng
 worker, which the tokenizer itself fills on a miss. Both tiers only save time: the counts are those of the tokenizer.
 
 The frequent pre-tokens are those of a sample of the whole table (about `sample_docs` documents, `table_size` entries), so the broadcast has a fixed
-bound; the cache of a worker is emptied at `cache_size` entries. Texts are taken in parts of bounded size, but a single one is cut into its pre-tokens at once.
+bound; the cache of a worker changes generation at `cache_size` entries. Texts are taken in parts of bounded size, but a single one is cut into its pre-tokens at once.
 
 Defined results: a null text counts as empty, with 0 bytes and 0 tokens; texts are never cut short; repeated rows are counted one by one;
 other columns stay, and columns named like the results are replaced.
@@ -13,6 +13,7 @@ other columns stay, and columns named like the results are replaced.
 
 from __future__ import annotations
 
+import functools
 import json
 import re
 import zlib
@@ -71,20 +72,27 @@ _BYTE_CHARS = {b: 0x100 + i for i, b in enumerate(_UNSEEN)}
 
 
 def as_byte_chars(piece: str) -> str:
-    return utf8(piece).decode("latin-1").translate(_BYTE_CHARS)
+    # of visible ASCII only the blank is written as another character
+    return piece.replace(" ", "\u0120") if piece.isascii() and piece.isprintable() else utf8(piece).decode("latin-1").translate(_BYTE_CHARS)
 
 
 class Lengths(dict):
-    """Pre-token -> number of tokens, or what else encode gives: a worker's cache above the broadcast table."""
+    """Pre-token -> number of tokens, or what else encode gives: a worker's cache above the broadcast table.
+
+    Beyond cache_size entries a new generation begins. What it meets of the last one is taken over, so frequent pre-tokens stay and rare ones go with the second change.
+    """
 
     def __init__(self, table: dict, encode, cache_size: int):
         super().__init__(table)
-        self.table, self.encode, self.cache_size = table, encode, cache_size
+        self.table, self.encode, self.cache_size, self.last = table, encode, cache_size, {}
 
     def __missing__(self, piece: str):
-        n = self.encode(piece)
+        n = self.last.get(piece)
+        if n is None:
+            n = self.encode(piece)
         if len(piece) <= LONGEST_KEPT:
             if len(self) >= self.cache_size:
+                self.last = dict(self)
                 self.clear()
                 self.update(self.table)
             self[piece] = n
@@ -150,6 +158,12 @@ class TokenIds(PreTokens):
         return b"".join(self.specials[p].to_bytes(4, "little") if i % 2 else b"".join(map(known, self.pieces(p))) for i, p in enumerate(self.parts(text)))
 
 
+@functools.lru_cache(maxsize=1)
+def worker_ids(path: str, cache_size: int) -> TokenIds:
+    """One TokenIds for all tasks of a Python worker: frequent pre-tokens are the same in all of them. It holds at most twice cache_size pre-tokens."""
+    return TokenIds(path, cache_size)
+
+
 def packed_table(lengths: dict[str, int]) -> bytes:
     return zlib.compress(json.dumps(lengths, ensure_ascii=False).encode("utf-8", "surrogatepass"))
 
