@@ -1,6 +1,6 @@
 """Best-fit packing of token sequences into bins of several permitted lengths.
 
-Documents are dealt by a hash of their id and length into groups of about `group_docs`, those without an id by their place in the input; each group
+Documents are dealt by a hash of their place in the input into groups of about `group_docs`, so rows that share an id and a length are spread too; each group
 is packed by itself, so no task sees more than a group, and a group wastes at most a few open bins. A document longer than the largest length
 is cut into full pieces of that length and a rest; the other documents stay whole. Within a group, longest piece first (ties by id and place):
 
@@ -99,14 +99,13 @@ def pack_lengths(docs: DataFrame, lengths: tuple[int, ...] = (512, 1024, 2048, 4
     """
     if not lengths or min(lengths) < 1:
         raise ValueError("give at least one positive length")
-    sized = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(tokens_col), F.lit(0)).cast("long").alias("n"))
+    sized = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(tokens_col), F.lit(0)).cast("long").alias("n"), F.monotonically_increasing_id().alias("place"))
     most, sorted_lengths = max(lengths), sorted(lengths)
     groups = max(1, -(-(docs.select(id_col).count() if n_docs is None else n_docs) // group_docs))
     full = F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("n") / most), F.lit(1)).cast("int") - 1), lambda p: F.struct(p.cast("int").alias("piece"), (p.cast("long") * most).alias("start")))
-    pieces = sized.select("doc_id", "n", F.explode(full).alias("p")).select("doc_id", "n", "p.piece", "p.start", F.least(F.lit(most), F.col("n") - F.col("p.start")).cast("int").alias("n_tokens"))
+    pieces = sized.select("doc_id", "n", "place", F.explode(full).alias("p")).select("doc_id", "n", "place", "p.piece", "p.start", F.least(F.lit(most), F.col("n") - F.col("p.start")).cast("int").alias("n_tokens"))
     # a long document's pieces go to different groups, so that a group stays bounded
-    place = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
-    pieces = pieces.withColumn("g", F.pmod(F.xxhash64("doc_id", "n", F.floor(F.col("piece") / 64), place), F.lit(groups)).cast("long")).drop("n")
+    pieces = pieces.withColumn("g", F.pmod(F.xxhash64("place", F.floor(F.col("piece") / 64)), F.lit(groups)).cast("long")).drop("n", "place")
 
     def pack(table: pa.Table) -> pa.Table:
         size = table.column("n_tokens").to_numpy().astype(np.int64)
