@@ -174,6 +174,13 @@ def test_sum_of_squares_identity():
     assert m.scores(at, value, np.array([3]), stats)[0] == pytest.approx(1 / (1 + np.exp(-raw)))
 
 
+def test_packing_spreads_one_id(spark):
+    """Rows that share an id and a length are dealt to all groups."""
+    docs = spark.range(0, 20_000, 1, 5).select(F.lit(3).alias("doc_id"), F.lit(7).alias("n_tokens"))
+    sizes = [r["count"] for r in packing.pack_lengths(docs, (16, 32), group_docs=200).groupBy(F.shiftright("bin_id", 32)).count().collect()]
+    assert len(sizes) == 100 and sum(sizes) == 20_000 and max(sizes) < 300
+
+
 @pytest.mark.parametrize("group_docs", [20000, 30])
 def test_packing(spark, group_docs):
     rnd = random.Random(4)
