@@ -3,8 +3,8 @@
 Multisine: the excitation repeats after `period` samples, so a chunk of whole periods is a frame whose tones are orthogonal: phasors are sums in
 column expressions, and cross spectra are averages over frames. Read recordings with `chunk` = samples of a frame.
 
-Stepped sine: dwells are found on the reference channel of each card, then every channel of the card is fitted at each dwell's frequency. A group
-is one channel of one recording.
+Stepped sine: dwells are found on the reference channel of each card, then every channel of the card is fitted at each dwell's frequency, as sums over
+chunks: no task holds a channel.
 """
 
 from __future__ import annotations
@@ -18,10 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import aggregate, numeric, signal
-
-STEP = "path string, step int, freq_hz double, start long, stop long, snr_db double"
-PHASOR = "path string, channel string, step int, freq_hz double, re double, im double, rms double, n_samples long"
+from ..operators import aggregate, numeric, scans, signal, sines
 
 
 def tone_phasors(chunks: DataFrame, tones: list[float], frame: int) -> DataFrame:
@@ -66,68 +63,27 @@ def plate_spectrum(spectra: DataFrame, areas: DataFrame, cell_area: float, coher
     return aggregate.parallel_sum(spectra.where(F.col("coherence") >= coherence).join(F.broadcast(areas), "segment"), ["freq_hz"], "area", "z_re", "z_im", cell_area)
 
 
-def _peak(x: np.ndarray, fs: float, about: float, within: float) -> float:
-    """The frequency of the periodogram's peak near a first guess; the fit that follows needs it to a fraction of 1 / duration."""
-    n = 4 << int(np.ceil(np.log2(len(x))))
-    f = np.fft.rfftfreq(n, 1 / fs)
-    near = (f > 0) & (np.abs(f - about) <= within)
-    return float(f[near][np.argmax(np.abs(np.fft.rfft(x - x.mean(), n))[near])])
-
-
-def find_dwells(x: np.ndarray, fs: float, frame: int, near: float = 0.03, least: int = 3, least_db: float = 10.0) -> list[tuple[float, int, int, float]]:
-    """(frequency, start, stop, SNR dB) of stretches of frames whose strongest tone stays the same."""
-    window = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(frame) / frame)
-    blocks = numeric.frames(x - x.mean(), frame, frame // 2)
-    power = np.abs(np.fft.rfft(blocks * window, axis=1)) ** 2
-    power[:, :2] = 0
-    top = power.argmax(axis=1)
-    rows = np.arange(len(top))
-    near_top = sum(power[rows, np.clip(top + d, 0, power.shape[1] - 1)] for d in (-2, -1, 0, 1, 2))
-    snr = 10 * np.log10(np.maximum(near_top, 1e-300) / np.maximum(power.sum(1) - near_top, 1e-300))
-    out, first = [], 0
-    for k in range(1, len(top) + 1):
-        if k < len(top) and abs(int(top[k]) - int(top[first])) <= max(1, near * top[first]):
-            continue
-        if k - first >= least and np.median(snr[first:k]) >= least_db:
-            start, stop = first * frame // 2 + frame // 2, (k - 1) * frame // 2 + frame // 2
-            f, _, _ = numeric.sine_frequency(x[start:stop], fs, _peak(x[start:stop], fs, float(np.median(top[first:k])) * fs / frame, 2 * fs / frame))
-            out.append((f, start, stop, float(np.median(snr[first:k]))))
-        first = k
-    return out
-
-
-def _whole(pdf: pd.DataFrame) -> np.ndarray:
-    pdf = pdf.sort_values("first_sample")
-    return np.concatenate([np.asarray(s, np.float32) for s in pdf.samples]).astype(float)
-
-
 def schedule(chunks: DataFrame, reference: str, frame: int = 1024) -> DataFrame:
-    """(path, step, freq_hz, start, stop, snr_db): the dwells of each recording, found on its reference channel."""
+    """(path, step, freq_hz, start, stop, snr_db): the dwells of each recording, found on its reference channel.
 
-    def find(pdf: pd.DataFrame) -> pd.DataFrame:
-        steps = find_dwells(_whole(pdf), float(pdf.fs.iloc[0]), frame)
-        return pd.DataFrame([(pdf.path.iloc[0], i, *s) for i, s in enumerate(steps)], columns=["path", "step", "freq_hz", "start", "stop", "snr_db"])
-
-    return chunks.where(F.col("channel") == reference).groupBy("path").applyInPandas(find, STEP)
+    Frames come from blocks with halos, dwells from windows over one row a frame, and exact frequencies from phases of parts of a frame, so chunks may have any size.
+    """
+    known = chunks.where(F.col("channel") == reference)
+    rate = known.groupBy("path").agg(F.first("fs").cast("double").alias("_fs"))
+    runs = scans.top_runs(scans.frame_tops(known, frame), frame).join(F.broadcast(rate), "path")
+    tones = runs.select("path", F.col("step").alias("tone"), (F.col("bin") * F.col("_fs") / frame).alias("freq_hz"), F.col("start").alias("first_sample"), (F.col("stop") - 1).alias("last_sample"))
+    # a quarter of a frame first, as a bin is wide against what a whole frame can tell
+    coarse = sines.exact_frequency(known, tones, max(8, frame // 4)).select("path", "tone", F.col("freq_hz").alias("_f"))
+    better = tones.join(coarse, ["path", "tone"]).withColumn("freq_hz", F.col("_f")).drop("_f")
+    exact = sines.exact_frequency(known, better, frame).select("path", F.col("tone").alias("step"), "freq_hz")
+    return runs.join(exact, ["path", "step"]).select("path", "step", "freq_hz", "start", "stop", "snr_db")
 
 
 def step_phasors(chunks: DataFrame, steps: DataFrame) -> DataFrame:
-    """(path, channel, step, freq_hz, re, im, rms, n_samples): every channel fitted at every dwell of its recording."""
-
-    found = steps.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("step", "freq_hz", "start", "stop"))).alias("steps"))
-
-    def fit(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        x, fs = _whole(pdf), float(pdf.fs.iloc[0])
-        rows = []
-        for s in pdf.steps.iloc[0]:
-            y = x[s["start"] : s["stop"]]
-            if len(y) >= 8:
-                amp, rms = numeric.sine_fit(y, np.arange(len(y)) / fs, np.array([s["freq_hz"]]))
-                rows.append((*key, s["step"], s["freq_hz"], amp[0].real, amp[0].imag, rms, len(y)))
-        return pd.DataFrame(rows, columns=[c.split(" ")[0] for c in PHASOR.split(", ")])
-
-    # the dwells of a recording, a few dozen, go along with each of its chunks
-    return chunks.join(found, "path").groupBy("path", "channel").applyInPandas(fit, PHASOR)
+    """(path, channel, step, freq_hz, re, im, rms, n_samples): every channel fitted at every dwell of its recording, from sums over the chunks that the dwell overlaps."""
+    tones = steps.select("path", F.col("step").alias("tone"), "freq_hz", F.col("start").alias("first_sample"), (F.col("stop") - 1).alias("last_sample"))
+    fits = sines.solved(sines.sums_of_chunks(chunks, tones)).where((F.col("n") >= 8) & F.col("re").isNotNull())
+    return fits.select("path", "channel", F.col("tone").alias("step"), "freq_hz", "re", "im", "rms", F.col("n").alias("n_samples"))
 
 
 def step_impedance(phasors: DataFrame, calibration: DataFrame, reference: str) -> DataFrame:
