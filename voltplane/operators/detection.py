@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import windows
+from .materialise import kept
 
 FRAME = "path string, first_sample long, fs double, n_samples int, n_channels int, power array<double>, found array<struct<bin:int,ratio_db:double,is_max:boolean,n_over:int,threshold:int>>"
 
@@ -294,16 +294,17 @@ def recovered_schedule(chunks: DataFrame, low: float, high: float, tolerance: fl
     Detected: dwells of array detections, their frequency refined by the turn of the phasors. The ladder is fitted on these alone and must lie within `tolerance` of half of them.
     Verified: rungs of the ladder without a step, whose frames pass the integrated array test, the common-component test (from 4 frames on) and the bound on sigma.
     """
-    tested = frames(chunks, n_bg, guard)
+    # one row a frame, a dwell or a rung: what several of the steps below read is written once
+    tested = kept(frames(chunks, n_bg, guard))
     held = dwells(detections(tested), least).join(tested.groupBy("path").agg(F.first("fs").alias("fs"), F.max("n_samples").alias("_n")), "path")
-    coarse = held.select("path", F.col("step").cast("long").alias("tone"), (F.col("bin") * F.col("fs") / F.col("_n")).alias("freq_hz"), "first_sample", "last_sample", (F.col("_n") / F.col("fs")).alias("step_s"))
+    coarse = kept(held).select("path", F.col("step").cast("long").alias("tone"), (F.col("bin") * F.col("fs") / F.col("_n")).alias("freq_hz"), "first_sample", "last_sample", (F.col("_n") / F.col("fs")).alias("step_s"))
     turned = phasors_at(chunks, coarse.drop("step_s")).join(F.broadcast(coarse.select("path", "tone", "step_s")), ["path", "tone"])
     fine = refined_frequency(turned, ["path", "tone"])
     # a dwell of a single whole frame has no turn: its bin stands
-    steps = coarse.withColumnRenamed("freq_hz", "_f").join(fine.select("path", "tone", "freq_hz"), ["path", "tone"], "left").select("path", F.coalesce("freq_hz", "_f").alias("freq_hz"), "first_sample", "last_sample")
+    steps = kept(coarse.withColumnRenamed("freq_hz", "_f").join(fine.select("path", "tone", "freq_hz"), ["path", "tone"], "left").select("path", F.coalesce("freq_hz", "_f").alias("freq_hz"), "first_sample", "last_sample"))
     ladders = ladder(steps, ["path"], "freq_hz").where(F.col("residual") <= tolerance)
-    wanted = missing_rungs(steps, ladders, low, high, tolerance)
-    each = phasors_at(chunks, wanted)
+    wanted = kept(missing_rungs(steps, ladders, low, high, tolerance))
+    each = kept(phasors_at(chunks, wanted))
     common = rank_one(each, ["path", "tone"], "first_sample")
     passed = integrated_tests(tested, wanted, n_bg, guard).where("is_max").join(precise_enough(each, ["path", "tone"], sigma).where("precise"), ["path", "tone"]).join(common, ["path", "tone"])
     passed = passed.where(F.col("shared") | (F.col("n_snapshots") < 4))

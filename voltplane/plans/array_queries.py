@@ -24,10 +24,10 @@ def recording(spark, d):
 @query(
     "array_detections",
     f"""WITH {DOUBLES_SQL}, c AS (SELECT vec_id // 8 * 64 AS first_sample, vec_id % 8 AS channel, list_transform(w, lambda v: v - list_sum(w) / len(w)) AS w FROM x),
-    p AS (SELECT first_sample, channel, k, pow({CK}, 2) + pow({SK}, 2) AS p FROM c, (SELECT unnest(range(32)) AS k)), l AS (SELECT first_sample, channel, median(p) AS l FROM p WHERE k > 0 GROUP BY ALL),
-    n AS (SELECT first_sample, channel, k, p / l AS p FROM p JOIN l USING (first_sample, channel) WHERE l > 0), m AS (SELECT first_sample, count(DISTINCT channel) AS m FROM n GROUP BY ALL),
-    t AS (SELECT first_sample, k, sum(p) AS p FROM n GROUP BY ALL), r AS (SELECT a.first_sample, a.k, 10 * log10(a.p / median(b.p)) AS ratio_db, a.p > max(b.p) AS is_max FROM t a JOIN t b ON a.first_sample = b.first_sample AND abs(a.k - b.k) BETWEEN {GUARD + 1} AND {GUARD + N_BG} WHERE a.k BETWEEN {1 + GUARD + N_BG} AND {31 - GUARD - N_BG} GROUP BY a.first_sample, a.k, a.p),
-    o AS (SELECT first_sample, k, count(*) FILTER (WHERE over) AS n_over FROM (SELECT a.first_sample, a.k, a.p > max(b.p) AS over FROM n a JOIN n b ON a.first_sample = b.first_sample AND a.channel = b.channel AND abs(a.k - b.k) BETWEEN {GUARD + 1} AND {GUARD + N_BG} WHERE a.k BETWEEN {1 + GUARD + N_BG} AND {31 - GUARD - N_BG} GROUP BY a.first_sample, a.k, a.channel, a.p) GROUP BY ALL),
+    g AS (SELECT first_sample, channel, k, pow({CK}, 2) + pow({SK}, 2) AS v FROM c, (SELECT unnest(range(32)) AS k)), l AS (SELECT first_sample, channel, median(v) AS l FROM g WHERE k > 0 GROUP BY ALL),
+    n AS (SELECT first_sample, channel, k, v / l AS v FROM g JOIN l USING (first_sample, channel) WHERE l > 0), m AS (SELECT first_sample, count(DISTINCT channel) AS m FROM n GROUP BY ALL),
+    t AS (SELECT first_sample, k, sum(v) AS v FROM n GROUP BY ALL), r AS (SELECT a.first_sample, a.k, 10 * log10(a.v / median(b.v)) AS ratio_db, a.v > max(b.v) AS is_max FROM t a JOIN t b ON a.first_sample = b.first_sample AND abs(a.k - b.k) BETWEEN {GUARD + 1} AND {GUARD + N_BG} WHERE a.k BETWEEN {1 + GUARD + N_BG} AND {31 - GUARD - N_BG} GROUP BY a.first_sample, a.k, a.v),
+    o AS (SELECT first_sample, k, count(*) FILTER (WHERE over) AS n_over FROM (SELECT a.first_sample, a.k, a.v > max(b.v) AS over FROM n a JOIN n b ON a.first_sample = b.first_sample AND a.channel = b.channel AND abs(a.k - b.k) BETWEEN {GUARD + 1} AND {GUARD + N_BG} WHERE a.k BETWEEN {1 + GUARD + N_BG} AND {31 - GUARD - N_BG} GROUP BY a.first_sample, a.k, a.channel, a.v) GROUP BY ALL),
     z AS (SELECT m, min(h) AS threshold FROM (SELECT m, h, coalesce(list_sum(list_transform(range(h, m + 1), lambda c: round(exp(lgamma(m + 1) - lgamma(c + 1) - lgamma(m - c + 1))) * pow(1 / 17, c) * pow(16 / 17, m - c))), 0) AS tail FROM (SELECT DISTINCT m, unnest(range(0, m + 2)) AS h FROM m)) WHERE tail <= {ALPHA} GROUP BY m)
     SELECT first_sample, k AS bin, k::DOUBLE AS freq_hz, m AS n_channels, round(ratio_db, 6) AS ratio_db, is_max, n_over, threshold FROM r JOIN o USING (first_sample, k) JOIN m USING (first_sample) JOIN z USING (m) WHERE m >= 3 AND (is_max OR n_over >= threshold)""",
 )
@@ -49,10 +49,10 @@ SQUARINGS = 40
     r AS (SELECT g, i, j, re AS v FROM h UNION ALL SELECT g, i + 8, j + 8, re FROM h UNION ALL SELECT g, i, j + 8, -im FROM h UNION ALL SELECT g, i + 8, j, im FROM h),
     q(k, g, i, j, v) AS (SELECT 0, g, i, j, v / sum(CASE WHEN i = j THEN v END) OVER (PARTITION BY g) FROM r
       UNION ALL SELECT k, g, i, j, v / sum(CASE WHEN i = j THEN v END) OVER (PARTITION BY g) FROM (SELECT a.k + 1 AS k, a.g, a.i, b.j, sum(a.v * b.v) AS v FROM q a JOIN q b ON a.g = b.g AND a.j = b.i WHERE a.k < {SQUARINGS} GROUP BY a.k, a.g, a.i, b.j)),
-    e AS (SELECT q.g, sum(q.v * r.v) AS top FROM q JOIN r ON q.g = r.g AND q.i = r.j AND q.j = r.i WHERE q.k = {SQUARINGS} GROUP BY q.g), u AS (SELECT g, sum(v) / 2 AS trace FROM r WHERE i = j GROUP BY g),
+    tops AS (SELECT q.g, sum(q.v * r.v) AS top FROM q JOIN r ON q.g = r.g AND q.i = r.j AND q.j = r.i WHERE q.k = {SQUARINGS} GROUP BY q.g), u AS (SELECT g, sum(v) / 2 AS trace FROM r WHERE i = j GROUP BY g),
     v AS (SELECT g, 1 / sum(s * s) AS participation FROM (SELECT g, i % 8 AS c, sum(v) AS s FROM q WHERE k = {SQUARINGS} AND i = j GROUP BY ALL) GROUP BY g)
     SELECT g, m AS n_channels, n AS n_snapshots, round(top * m / trace, 6) AS statistic, round(participation, 6) AS participation, round(pow(1 + sqrt(m / n), 2), 6) AS edge,
-    m >= 3 AND n >= 4 AND top * m / trace >= pow(1 + sqrt(m / n), 2) AND participation >= greatest(3, m / 3) AS shared FROM e JOIN u USING (g) JOIN v USING (g) JOIN n USING (g)""",
+    m >= 3 AND n >= 4 AND top * m / trace >= pow(1 + sqrt(m / n), 2) AND participation >= greatest(3, m / 3) AS shared FROM tops JOIN u USING (g) JOIN v USING (g) JOIN n USING (g)""",
 )
 def common_component(spark, d):
     w = windows_of(spark, d)
@@ -88,7 +88,7 @@ def recovered_schedule(spark, d):
 MAX_LAG, BESIDE = 48, 3
 HOURS_SQL = (
     "h AS (SELECT card, t_us // 3600000000 AS hour, sum(value) AS v FROM e WHERE value IS NOT NULL GROUP BY ALL), y AS (SELECT card, hour, v - avg(v) OVER (PARTITION BY card) AS v FROM h), "
-    f"r AS (SELECT a.card AS a, b.card AS b, b.hour - a.hour AS lag, sum(a.v * b.v) AS r FROM y a JOIN y b ON a.card < b.card AND b.hour - a.hour BETWEEN -{MAX_LAG} AND {MAX_LAG} GROUP BY ALL), z AS (SELECT a, b, l.lag, coalesce(r, 0) AS r FROM (SELECT DISTINCT a, b FROM r), (SELECT unnest(range(-{MAX_LAG}, {MAX_LAG + 1})) AS lag) l LEFT JOIN r USING (a, b, lag)), "
+    f"r AS (SELECT a.card AS a, b.card AS b, b.hour - a.hour AS lag, sum(a.v * b.v) AS r FROM y a JOIN y b ON a.card < b.card AND b.hour - a.hour BETWEEN -{MAX_LAG} AND {MAX_LAG} GROUP BY ALL), z AS (SELECT a, b, lag, coalesce(r, 0) AS r FROM (SELECT a, b, lag FROM (SELECT DISTINCT a, b FROM r), (SELECT unnest(range(-{MAX_LAG}, {MAX_LAG + 1})) AS lag)) l LEFT JOIN r USING (a, b, lag)), "
     "k AS (SELECT a, b, arg_min(lag, (-abs(r), lag)) AS lag, arg_min(r, (-abs(r), lag)) AS r FROM z GROUP BY ALL), e2 AS (SELECT card, sum(v * v) AS e FROM y GROUP BY card), "
     f"q AS (SELECT k.a, k.b, k.lag, k.r / sqrt(ea.e * eb.e) AS correlation, abs(k.r) / median(abs(z.r)) AS prominence FROM k JOIN e2 ea ON ea.card = k.a JOIN e2 eb ON eb.card = k.b JOIN z ON z.a = k.a AND z.b = k.b AND abs(z.lag - k.lag) > {BESIDE} GROUP BY k.a, k.b, k.lag, k.r, ea.e, eb.e)"
 )
