@@ -207,6 +207,11 @@ def test_exact_quantiles_and_carried_rows(spark):
         mine = [v for key, v in rows if key == k and v is not None]
         for s in shares:
             assert got[(k, s)] == pytest.approx(np.quantile(mine, s), abs=1e-12)
+    # one value far out doesn't push all others into one bin
+    far = spark.range(0, 50_000, 1, 6).select(F.lit("x").alias("k"), F.when(F.col("id") == 7, 1e12).otherwise(F.rand(1)).alias("v"))
+    sizes = [r["count"] for r in robust.rank_bins(far, ["k"], "v", 40).groupBy("_bin").count().collect()]
+    assert sum(sizes) == 50_000 and max(sizes) < 5_000
+    assert robust.quantiles(far, ["k"], "v", [1.0]).first().quantile == 1e12
     ordered = spark.createDataFrame([("a", i, bool(i % 7 not in (0, 3))) for i in range(60)], "k string, t int, on boolean")
     one = windows.runs_of_true(ordered, ["k"], ["t"], F.col("on"))
     many = windows.runs_of_true(ordered, ["k"], ["t"], F.col("on"), F.floor(F.col("t") / 4))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .materialise import kept
 from .windows import before
 
 #: sigma of a normal distribution is 1.4826 MAD; MAD is 0.6745 sigma.
@@ -76,17 +77,23 @@ def limits(value: str, low: float = 0.02, high: float = 0.98) -> list[Column]:
     return [F.percentile(value, F.lit(low)).alias("low"), F.percentile(value, F.lit(high)).alias("high")]
 
 
-def quantiles(df: DataFrame, group: list[str], value: str, shares: list[float], bins: int = 512) -> DataFrame:
-    """(group, share, quantile): exact quantiles, linear between order statistics, for groups of any size.
+def rank_bins(df: DataFrame, group: list[str], value: str, bins: int) -> DataFrame:
+    """(group, _v, _c, _bin): distinct values with their counts, in bins of about equally many of them, that rise with group and value.
 
-    Equal values become one record with their count; records are counted in `bins` equal parts of the group's range; and only the parts that
-    hold a wanted rank are put in order. An aggregate percentile would hold all distinct values of a group in one task. Nulls and NaN are left out.
+    Spark samples the values for the bounds, so a bin's size doesn't depend on how values are spread. The rows are written, as another sample would give other bins.
     """
     counted = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).groupBy(*group, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    span = counted.groupBy(*group).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.sum("_c").alias("_n"))
-    at = F.floor((F.col("_v") - F.col("_low")) / F.when(F.col("_high") > F.col("_low"), F.col("_high") - F.col("_low")) * bins)
-    binned = counted.join(span, group).withColumn("_bin", F.coalesce(F.least(at, F.lit(bins - 1)), F.lit(0)))
-    filled = binned.groupBy(*group, "_bin", "_n").agg(F.sum("_c").alias("_c"))
+    return kept(counted.repartitionByRange(bins, *group, "_v").withColumn("_bin", F.spark_partition_id()))
+
+
+def quantiles(df: DataFrame, group: list[str], value: str, shares: list[float], bins: int | None = None) -> DataFrame:
+    """(group, share, quantile): exact quantiles, linear between order statistics, for groups of any size and spread.
+
+    Equal values become one record with their count; records are dealt into `bins` (by default as many as shuffles have partitions) by sampled ranks and counted there; and only the bins
+    that hold a wanted rank are put in order. An aggregate percentile would hold all distinct values of a group in one task. Nulls and NaN are left out.
+    """
+    binned = rank_bins(df, group, value, bins or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    filled = binned.groupBy(*group, "_bin").agg(F.sum("_c").alias("_c")).withColumn("_n", F.sum("_c").over(Window.partitionBy(*group)))
     filled = filled.withColumn("_to", F.sum("_c").over(Window.partitionBy(*group).orderBy("_bin"))).withColumn("_from", F.col("_to") - F.col("_c"))
     wanted = filled.withColumn("share", F.explode(F.array(*[F.lit(float(s)) for s in shares]))).withColumn("_at", F.col("share") * (F.col("_n") - 1))
     ranks = wanted.withColumn("_rank", F.explode(F.array_distinct(F.array(F.floor("_at"), F.ceil("_at"))))).where("_rank >= _from AND _rank < _to")

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import impedance, text
-from ..operators import checks, joins, signal
+from ..operators import checks, joins, robust, signal
 from ..streaming import samples
 from .registry import events, points, query, rounded, table
 from .table_queries import ADJACENT_SQL, DOUBLES_SQL, PADS_SQL, pads, windows_of
@@ -90,7 +90,9 @@ def verdict_counts_check(spark, d):
 )
 def card_alignment_check(spark, d):
     e = events(spark, d)
-    off = e.join(e.groupBy("card").agg(F.median("value").alias("m")), "card").withColumn("off", F.col("value") - F.col("m"))
+    # few cards hold all rows, so their medians are taken by rank
+    middle = robust.quantiles(e, ["card"], "value", [0.5]).select("card", F.col("quantile").alias("m"))
+    off = e.join(middle, "card").withColumn("off", F.col("value") - F.col("m"))
     return checks.banded_check(off, ["card"], F.col("off"), 40, 150)
 
 
@@ -255,7 +257,12 @@ def confined_windows(spark, d):
 @query("chain_summary", "SELECT freq_hz, round(median(20 * log10(sqrt(z_re * z_re + z_im * z_im))), 6) AS gain_db, round(median(degrees(atan2(z_im, z_re))), 6) AS phase_deg, count(DISTINCT segment) AS n_segments FROM p GROUP BY freq_hz")
 def chain_summary(spark, d):
     z = (F.col("z_re"), F.col("z_im"))
-    return rounded(points(spark, d).groupBy("freq_hz").agg(F.median(20 * F.log10(impedance.magnitude(z))).alias("gain_db"), F.median(F.degrees(impedance.phase(z))).alias("phase_deg"), F.countDistinct("segment").alias("n_segments")))
+    p = points(spark, d).withColumn("gain_db", 20 * F.log10(impedance.magnitude(z))).withColumn("phase_deg", F.degrees(impedance.phase(z)))
+    # few steps hold all rows, so their medians are taken by rank
+    parts = p.select("freq_hz", F.explode(F.array(*[F.struct(F.lit(c).alias("part"), F.col(c).alias("v")) for c in ("gain_db", "phase_deg")])).alias("x")).select("freq_hz", "x.*")
+    middle = robust.quantiles(parts, ["freq_hz", "part"], "v", [0.5])
+    both = middle.groupBy("freq_hz").agg(*[F.max(F.when(F.col("part") == c, F.col("quantile"))).alias(c) for c in ("gain_db", "phase_deg")])
+    return rounded(both.join(p.groupBy("freq_hz").agg(F.countDistinct("segment").alias("n_segments")), "freq_hz").select("freq_hz", "gain_db", "phase_deg", "n_segments"))
 
 
 @query(

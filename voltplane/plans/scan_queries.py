@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from ..operators import clocks, scans, sines, skew
+from ..operators import clocks, relaxation, relocation, scans, sines, skew
 from .array_queries import recording
 from .check_queries import SPECTRA_SQL, plate_spectra
 from .registry import events, query
@@ -111,3 +111,39 @@ def card_clocks(spark, d):
     rows = cards[0].unionByName(cards[1].toDF("card", "first_sample", "samples")).unionByName(cards[2].toDF("card", "first_sample", "samples")).unionByName(cards[3])
     found = clocks.card_clocks(rows, "ref", 64.0, (1.0, 28.0), block=1 << 11, search=32, frame=256)
     return found.select("card", F.round(F.col("offset_s") * 64, 3).alias("offset_samples"), (F.round("rate_ppm", 1) + 0.0).alias("rate_ppm"), "ok")
+
+
+#: Cycles a sample of three tones, the lock-in window, and the least size of a peak.
+TONES, WINDOW, LEAST = (5 / 64, 9 / 64, 13 / 64), 128, 0.03
+
+
+@query(
+    "lock_in_peaks",
+    f"""WITH {DOUBLES_SQL}, {SAMPLES_SQL}, u AS (SELECT channel, tone, n, x * cos(2 * pi() * rate * n) AS re, -x * sin(2 * pi() * rate * n) AS im FROM s, (VALUES {", ".join(f"({i}, {r!r}::DOUBLE)" for i, r in enumerate(TONES))}) t(tone, rate)),
+    y AS (SELECT channel, tone, n, sum(re) OVER w AS re, sum(im) OVER w AS im, count(*) OVER w AS m FROM u WINDOW w AS (PARTITION BY channel, tone ORDER BY n ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING)),
+    z AS (SELECT channel, tone, n, 2.0::DOUBLE / {WINDOW} * sqrt(re * re + im * im) AS size FROM y WHERE m = {WINDOW}),
+    k AS (SELECT *, max(size) OVER (PARTITION BY channel, tone ORDER BY n ROWS BETWEEN {WINDOW // 2} PRECEDING AND {WINDOW // 2} FOLLOWING) AS top FROM z)
+    SELECT a.channel::VARCHAR AS channel, a.tone, a.n AS "at", round(a.size, 7) AS size, round(a.size / max(b.top), 6) AS dominance FROM k a JOIN k b ON a.channel = b.channel AND a.n = b.n AND a.tone <> b.tone WHERE a.size >= {LEAST} AND a.size = a.top GROUP BY a.channel, a.tone, a.n, a.size""",
+)
+def lock_in_peaks(spark, d):
+    found = relocation.lock_in_peaks(recording(spark, d), list(TONES), WINDOW, LEAST, block=1 << 12)
+    return found.select("channel", "tone", "at", F.round("size", 7).alias("size"), F.round("dominance", 6).alias("dominance"))
+
+
+@query("relocated_entries")
+def relocated_entries(spark, d):
+    """A log of one entry each ten chunks, of the three tones in turn, found again in the first channel."""
+    first = recording(spark, d).where("channel = '0'")
+    peaks = relocation.lock_in_peaks(first, list(TONES), WINDOW, LEAST, block=1 << 12)
+    entries = first.select("path", F.floor(F.col("first_sample") / 640).alias("entry")).distinct()
+    entries = entries.select("path", "entry", (F.col("entry") % 3).cast("int").alias("tone"), (F.col("entry") * 640).alias("expected"), F.lit(WINDOW).alias("gap"))
+    found = relocation.relocated(entries, peaks, 2000.0)
+    return found.select("path", "entry", "tone", "at", F.round("size", 7).alias("size"), F.round("score", 6).alias("score"))
+
+
+@query("relaxation_bands")
+def relaxation_bands(spark, d):
+    """The plate's mean spectra with bands of their resistances."""
+    points = plate_spectra(spark, d).where("freq_hz > 0")
+    out = relaxation.relaxation_bands(skew.assembled(points, ["segment"]), ["segment"], sigma_rel=0.1, per_decade=3, samples=100)
+    return out.select("segment", *[F.round(c, 3).alias(c) for c in ("noise", "series", "series_low", "series_high", "polarisation", "polarisation_low", "polarisation_high")])
