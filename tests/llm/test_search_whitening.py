@@ -134,17 +134,19 @@ def test_search_stops_early_and_stays_exact(monkeypatch):
     completed = []
     complete = block.complete
     monkeypatch.setattr(block, "complete", lambda *a: completed.append(len(a[0])) or complete(*a))
+    searches = 0
     for _ in range(40):
         asked = np.unique(rnd.choice(v, 12))
         times = rnd.integers(1, 3, len(asked))
-        all_docs = block.complete(np.arange(n), asked, times)
-        completed.clear()
+        all_docs = complete(np.arange(n), asked, times)
         for least in (1, int(np.sort(all_docs)[-k])):
             found, scores = block.search(asked, times, least, k)
+            searches += 1
             assert (scores == all_docs[found]).all()
             best = np.lexsort((np.arange(n), -all_docs))[:k]
             assert set(best[all_docs[best] >= least]) <= set(found)
-    assert completed and max(completed) < n
+    # some of the searches end early, and complete a few documents
+    assert len(completed) > searches / 10 and max(completed) < n / 4, completed
 
 
 # packing

@@ -93,10 +93,11 @@ class Machine:
         """One score a document; at and value lie end to end, lengths a document."""
         n, z = len(lengths), np.clip((stats - self.mean) / self.scale, -5, 5)
         doc = np.repeat(np.arange(n), lengths)
-        linear = self.w0 + np.bincount(doc, self.w[at] * value, n) + z @ self.w[DIMS:]
+        # row by row: a matrix product's rounding would depend on the rows beside
+        linear = self.w0 + np.bincount(doc, self.w[at] * value, n) + (z * self.w[DIMS:]).sum(axis=1)
         rows = self.v[at] * value[:, None]
-        total = np.stack([np.bincount(doc, rows[:, f], n) for f in range(rows.shape[1])], axis=1) + z @ self.v[DIMS:]
-        squares = np.bincount(doc, np.square(rows).sum(axis=1), n) + np.square(z) @ np.square(self.v[DIMS:]).sum(axis=1)
+        total = np.stack([np.bincount(doc, rows[:, f], n) for f in range(rows.shape[1])], axis=1) + (z[:, :, None] * self.v[DIMS:]).sum(axis=1)
+        squares = np.bincount(doc, np.square(rows).sum(axis=1), n) + (np.square(z) * np.square(self.v[DIMS:]).sum(axis=1)).sum(axis=1)
         return 1 / (1 + np.exp(-np.clip(linear + 0.5 * (np.square(total).sum(axis=1) - squares), -30, 30)))
 
 
