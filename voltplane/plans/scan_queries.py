@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from ..operators import clocks, relaxation, relocation, scans, sines, skew
+from ..operators import clocks, measurement_model, relaxation, relocation, scans, sines, skew
 from .array_queries import recording
 from .check_queries import SPECTRA_SQL, plate_spectra
 from .registry import events, query
@@ -147,3 +147,11 @@ def relaxation_bands(spark, d):
     points = plate_spectra(spark, d).where("freq_hz > 0")
     out = relaxation.relaxation_bands(skew.assembled(points, ["segment"]), ["segment"], sigma_rel=0.1, per_decade=3, samples=100)
     return out.select("segment", *[F.round(c, 3).alias(c) for c in ("noise", "series", "series_low", "series_high", "polarisation", "polarisation_low", "polarisation_high")])
+
+
+@query("measurement_models")
+def measurement_models(spark, d):
+    """The plate's mean spectra as series resistances and as many relaxations as they bear, without the points that don't fit."""
+    spectra = skew.assembled(plate_spectra(spark, d).where("freq_hz > 0"), ["segment"])
+    out = measurement_model.measurement_models(spectra, ["segment"], sigma_rel=0.1)
+    return out.select("segment", "order", F.round(F.col("resistances")[0], 4).alias("series"), F.round("chi_square", 4).alias("chi_square"), F.size("removed").alias("n_removed"))
