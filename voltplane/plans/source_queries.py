@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.materialise import files_folder, kept
-from ..sources import mdf4, recordings
+from ..sources import layouts, mdf4, recordings
 from .registry import query, rounded, table
 
 #: Vectors a file.
@@ -68,3 +68,19 @@ def recordings_chosen(spark, d):
     chosen = recordings.read_chosen(known.where("start <> 'part' and cast(start as long) % 3 = 1"), ["2", "5"], chunk=200)
     samples = chosen.select(F.col("start").cast("long").alias("file"), "channel", F.explode("samples").alias("v"))
     return rounded(samples.groupBy("file", "channel").agg(F.count(F.lit(1)).alias("n_samples"), F.sum(F.col("v").cast("double")).alias("total")))
+
+
+@query(
+    "file_layouts",
+    f"SELECT DISTINCT vec_id // {PER_FILE} AS file, 32 AS record, '<f4' AS type, 0 AS first, true AS clear FROM embeddings",
+)
+def file_layouts(spark, d):
+    """Running sums of vectors as records of eight single floats, in files that say nothing about it; their layout is found from the bytes."""
+
+    def write(path: str, number: int, vectors: np.ndarray) -> None:
+        layouts.write_bytes(path, np.cumsum(vectors.reshape(-1, 8).astype(float), axis=0).astype("<f4").tobytes())
+
+    files = _files(table(spark, d, "embeddings"), "bin", write)
+    folder = files.agg(F.max(F.regexp_extract("path", "^(.*)/", 1))).first()[0]
+    found = layouts.layouts(layouts.listed(spark, f"{folder}/*.bin"), longest=256)
+    return found.select(F.regexp_extract("path", r"(\d+)\.bin$", 1).cast("long").alias("file"), "record", "type", "first", F.col("reason").isNull().alias("clear"))

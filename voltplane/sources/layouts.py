@@ -15,17 +15,28 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.lags import array_sums
-from .recordings import _store
+from .recordings import _store, sizes
 
 #: Types and byte orders that are tried, in the order that decides ties.
 TYPES = ("<f4", ">f4", "<f8", ">f8", "<i2", ">i2", "<i4", ">i4")
 SPAN = 1 << 20
 
 
+def listed(spark: SparkSession, path: str) -> DataFrame:
+    """(path, n_bytes) of the files that a path with wildcards in its last part stands for."""
+    return spark.createDataFrame(sizes(path), "path string, n_bytes long")
+
+
+def write_bytes(path: str, data: bytes) -> None:
+    store, inner = _store(path)
+    with store.open_output_stream(inner) as f:
+        f.write(data)
+
+
 def _spans(files: DataFrame) -> DataFrame:
     begin = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("n_bytes") - 1, F.lit(0)).cast("long"), F.lit(SPAN).cast("long")))
     return files.where(F.col("n_bytes") > 0).select("path", "n_bytes", begin.alias("begin"))
