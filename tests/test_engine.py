@@ -227,3 +227,24 @@ def test_pairs_within_a_ratio(spark):
     right = spark.createDataFrame([("k", float(v)) for v in [*y, 0.97, 1.03]], "k string, y double")
     got = sorted((r.x, r.y) for r in joins.within_ratio(left, right, ["k"], "x", "y", 0.03).collect())
     assert got == sorted((float(a), float(b)) for a in [*x, 1.0, 1.0] for b in [*y, 0.97, 1.03] if abs(b / a - 1) <= 0.03)
+
+
+def test_lines_are_numbered_over_splits(spark, tmp_path):
+    from voltplane.sources import texts
+
+    made = {"a.txt": [f"line {i} " + "x" * (i % 40) for i in range(5000)], "b.txt": ["", "one", "", "two", ""], "empty.txt": []}
+    for name, rows in made.items():
+        (tmp_path / name).write_bytes("".join(f"{r}\r\n" if name == "b.txt" else f"{r}\n" for r in rows).encode())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7001")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1000")
+    try:
+        df = texts.lines(spark, str(tmp_path))
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 10
+        got = {}
+        for r in df.collect():
+            got.setdefault(r.path.rsplit("/", 1)[1], {})[r.line_no] = r.line
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == {name: dict(enumerate(rows)) for name, rows in made.items() if rows}

@@ -1,6 +1,6 @@
 """Text measurements as DataFrames: record lines, wide and long tables, spectra, potentiostat files, calibration steps, key-value sidecars.
 
-Line order comes from `_metadata.row_index`-like numbering within a file, so files are read whole a task; their size is that of one measurement.
+Lines are numbered within their file though files are read by splits, so the order of lines needs no whole file in a task.
 """
 
 from __future__ import annotations
@@ -18,9 +18,17 @@ def number(text: Column) -> Column:
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    """(path, line_no, line) of text files; line numbers count from 0 within a file."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
-    return whole.select("path", F.posexplode(F.split("value", r"\r?\n", -1)).alias("line_no", "line"))
+    """(path, line_no, line) of text files; line numbers count from 0 within a file, which may be of any size.
+
+    Files are read by splits. A task numbers its rows in a row, so a line's place in its split is its number less the split's least one, and the lines of the splits before it are added: one record a
+    split. A line end at a file's end begins no further line.
+    """
+    at = F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
+    rows = spark.read.text(path).select(at.alias("_at"), "value", F.monotonically_increasing_id().alias("_id")).select("_at.*", "value", "_id")
+    splits = rows.groupBy("path", "start").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    return rows.join(splits, ["path", "start"]).select("path", (F.col("_before") + F.col("_id") - F.col("_first")).cast("int").alias("line_no"), F.col("value").alias("line"))
 
 
 def dialect(spark: SparkSession, path: str, n: int = 60) -> str:
