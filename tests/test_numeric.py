@@ -133,3 +133,22 @@ def test_kept_windows_against_every_order():
         for i in set(range(n)) - set(kept.tolist()):
             near = [j for j in range(n) if j != i and abs(np.log(f[i] / f[j])) <= np.log(1.02) and snr[j] > snr[i]]
             assert near or any(clash(i, j) and snr[j] > snr[i] for j in kept)
+
+
+def test_notch_in_blocks_against_a_loop():
+    rng = np.random.default_rng(8)
+    for n in (0, 1, 2, 63, 64, 65, 1000):
+        x = rng.normal(size=n) + 3
+        w = 2 * np.pi * 50 / 1000
+        alpha = np.sin(w) / 10
+
+        def run(v):
+            out, x1, x2, y1, y2 = [], v[0], v[0], v[0], v[0]
+            for value in v:
+                y = (value - 2 * np.cos(w) * x1 + x2 + 2 * np.cos(w) * y1 - (1 - alpha) * y2) / (1 + alpha)
+                x1, x2, y1, y2 = value, x1, y, y1
+                out.append(y)
+            return np.array(out)
+
+        want = run(run(x)[::-1])[::-1] if n else np.zeros(0)
+        assert np.allclose(numeric.notched(x, 1000.0, 50.0, 5.0), want, atol=1e-9)

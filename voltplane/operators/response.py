@@ -59,9 +59,15 @@ def composed(new: DataFrame, old: DataFrame, keys: list[str], f: str, value: str
 
 
 def held_out(responses: DataFrame, card: str, f: str, value: str) -> DataFrame:
-    """Per card how far it is off the median of all other cards at the same steps: (card, n, deviation_pct, worst_pct)."""
-    other = responses.select(F.col(card).alias("_c"), f, F.col(value).alias("_v"))
-    rest = responses.join(other, f).where(F.col(card) != F.col("_c")).groupBy(card, f, value).agg(F.median("_v").alias("_m"))
+    """Per card how far it is off the median of all other cards at the same steps: (card, n, deviation_pct, worst_pct). A card has one value a step; nulls don't count.
+
+    Without its own value a card sees the step's order statistics beside the middle, moved by one above its own place: no card meets another.
+    """
+    whole = Window.partitionBy(f)
+    rows = responses.where(F.col(value).isNotNull()).withColumn("_r", F.row_number().over(whole.orderBy(value, card)) - 1).withColumn("_m", F.count(F.lit(1)).over(whole) - 1)
+    at = lambda k: F.max(F.when(F.col("_r") == k, F.col(value))).over(whole)
+    seen = lambda k: F.when(F.col("_r") > k, at(k)).otherwise(at(k + 1))
+    rest = rows.where("_m > 0").withColumn("_m", (seen(F.floor((F.col("_m") - 1) / 2)) + seen(F.floor(F.col("_m") / 2))) / 2)
     off = 100 * (F.col(value) / F.when(F.col("_m") != 0, F.col("_m")) - 1)
     return rest.groupBy(card).agg(F.count(off).alias("n"), F.median(off).alias("deviation_pct"), F.max(F.abs(off)).alias("worst_pct"))
 
