@@ -114,8 +114,11 @@ def quantisation_step(df: DataFrame, group: list[str], value: str, digits: int =
 def regularity(df: DataFrame, group: list[str], t: str, jitter: float = 1e-3, gap: float = 1.5, bucket: Column | None = None) -> DataFrame:
     """Per group: median step, jitter (1.4826 MAD / median), largest step / median, and whether the sampling is uniform. bucket: parts of t that steps are taken in."""
     steps = before(df, group, [t], [t], F.lit(0) if bucket is None else bucket).withColumn("_dt", F.col(t) - F.col(f"_before.{t}")).where(F.col("_dt").isNotNull())
-    middle = steps.groupBy(*group).agg(F.median("_dt").alias("dt"), F.max("_dt").alias("_most"))
-    out = steps.join(middle, group).groupBy(*group, "dt", "_most").agg(F.median(F.abs(F.col("_dt") - F.col("dt"))).alias("_mad"))
+    # a group may hold a third of all rows, so its medians are taken by rank
+    half = lambda rows, value, name: quantiles(rows, group, value, [0.5]).select(*group, F.col("quantile").alias(name))
+    middle = half(steps, "_dt", "dt")
+    away = steps.select(*group, "_dt").join(middle, group).select(*group, F.abs(F.col("_dt") - F.col("dt")).alias("_off"))
+    out = middle.join(half(away, "_off", "_mad"), group).join(steps.groupBy(*group).agg(F.max("_dt").alias("_most")), group)
     positive = F.when(F.col("dt") > 0, F.col("dt"))
     out = out.withColumn("jitter", MAD_SIGMA * F.col("_mad") / positive).withColumn("max_gap", F.col("_most") / positive)
     return out.withColumn("uniform", F.coalesce((F.col("jitter") < jitter) & (F.col("max_gap") < gap), F.lit(False))).drop("_most", "_mad")
