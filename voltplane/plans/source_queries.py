@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.materialise import files_folder, kept
-from ..sources import layouts, mdf4, recordings
+from ..sources import layouts, mdf4, recordings, texts
 from .registry import query, rounded, table
 
 #: Vectors a file.
@@ -84,3 +84,19 @@ def file_layouts(spark, d):
     folder = files.agg(F.max(F.regexp_extract("path", "^(.*)/", 1))).first()[0]
     found = layouts.layouts(layouts.listed(spark, f"{folder}/*.bin"), longest=256)
     return found.select(F.regexp_extract("path", r"(\d+)\.bin$", 1).cast("long").alias("file"), "record", "type", "first", F.col("reason").isNull().alias("clear"))
+
+
+@query(
+    "text_lines",
+    """WITH f AS (SELECT doc_id // 64 AS file, string_split(string_agg(replace(coalesce(text, ''), chr(13), ' '), chr(10) ORDER BY doc_id), chr(10)) AS l FROM documents GROUP BY ALL),
+    x AS (SELECT file, unnest(range(len(l))) AS k, unnest(l) AS line FROM f)
+    SELECT file, count(*) AS n_lines, max(k)::INTEGER AS last_line, sum(k * length(line))::BIGINT AS moment, arg_max(length(line), (length(line), -k))::BIGINT AS longest, arg_max(k, (length(line), -k))::INTEGER AS longest_at FROM x GROUP BY file""",
+)
+def text_lines(spark, d):
+    """Documents as text files of 64 each, whose lines are numbered again as they are read by splits."""
+    folder = f"{files_folder(spark)}/text"
+    docs = table(spark, d, "documents").select(F.floor(F.col("doc_id") / 64).alias("file"), "doc_id", F.translate(F.coalesce("text", F.lit("")), "\r", " ").alias("value"))
+    docs.repartition("file").sortWithinPartitions("file", "doc_id").select("file", "value").write.partitionBy("file").text(folder)
+    lines = texts.lines(spark, folder).withColumn("file", F.regexp_extract("path", r"file=(\d+)/", 1).cast("long")).withColumn("n", F.length("line").cast("long"))
+    longest = F.struct("n", (-F.col("line_no")).alias("k"))
+    return lines.groupBy("file").agg(F.count(F.lit(1)).alias("n_lines"), F.max("line_no").alias("last_line"), F.sum(F.col("line_no") * F.col("n")).alias("moment"), F.max(longest)["n"].alias("longest"), (-F.max(longest)["k"]).alias("longest_at"))
