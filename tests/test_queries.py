@@ -84,10 +84,15 @@ def test_temperature_field(spark):
 
 def test_relocated_entries_are_the_best_in_order(spark):
     """Against a plain recursion over entries and peaks."""
+    logs, places = plans.QUERIES["relocated_entries"](spark, SF).orderBy("entry").collect(), plans.QUERIES["lock_in_peaks"](spark, SF).orderBy("at", "tone").collect()
+    assert len({r.path for r in logs}) == 8
+    for channel in map(str, range(8)):
+        check_best_in_order([r for r in logs if r.path == channel], [p for p in places if p.channel == channel])
+
+
+def check_best_in_order(found, peaks):
     import functools
 
-    found = plans.QUERIES["relocated_entries"](spark, SF).orderBy("entry").collect()
-    peaks = [r for r in plans.QUERIES["lock_in_peaks"](spark, SF).where("channel = '0'").orderBy("at", "tone").collect()]
     top = {t: max(p.size for p in peaks if p.tone == t) for t in range(3)}
 
     def score(e, p):
@@ -101,9 +106,9 @@ def test_relocated_entries_are_the_best_in_order(spark):
         picks = [s + best(i + 1, p["at"]) for p in peaks if (after is None or p["at"] >= after + 128) and (s := score(found[i], p)) is not None]
         return max([best(i + 1, after), *picks])
 
-    assert len(found) == 7 and sum(r.score or 0 for r in found) == pytest.approx(best(0, None), abs=1e-5)
+    assert len(found) >= 6 and sum(r.score or 0 for r in found) == pytest.approx(best(0, None), abs=1e-5)
     placed = [r["at"] for r in found if r["at"] is not None]
-    assert placed == sorted(placed) and len(placed) >= 5
+    assert placed == sorted(placed) and len(placed) >= 3
 
 
 def test_card_lags_solve_their_pairs(spark):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import clocks, measurement_model, relaxation, relocation, scans, sines, skew
 from .array_queries import recording
 from .check_queries import SPECTRA_SQL, plate_spectra
-from .registry import events, query
+from .registry import events, query, table
 from .table_queries import DOUBLES_SQL
 
 #: Cycles a sample of two tones, the filter's memory, and the trigger's levels.
@@ -94,22 +94,20 @@ def shared_skews(spark, d):
     return fit.select("card", F.round(F.col("theta")[0], 9).alias("common_s"), F.round(F.col("theta")[1], 9).alias("slot_s"), F.round("cost_before", 6).alias("cost_before"), F.round("cost", 6).alias("cost"), "n_spectra")
 
 
-#: By how many samples copies of the first channel are laid late, and what the others are against it.
-LATE = {"late": 9, "early": -4}
+#: By how many samples copies of a record are laid late.
+LATE = {"late": 9, "early": -4, "far": 320}
 
 
 @query(
     "card_clocks",
-    """SELECT * FROM (VALUES ('late', 9.0::DOUBLE, 0.0::DOUBLE, true), ('early', -4.0::DOUBLE, 0.0::DOUBLE, true), ('other', NULL, NULL, false)) t(card, offset_samples, rate_ppm, ok) WHERE (SELECT count(*) FROM embeddings) > 0""",
+    """SELECT * FROM (VALUES ('late', 9.0::DOUBLE, 0.0::DOUBLE, true), ('early', -4.0::DOUBLE, 0.0::DOUBLE, true), ('far', NULL, NULL, false)) t(card, offset_samples, rate_ppm, ok) WHERE (SELECT count(*) FROM embeddings) > 0""",
 )
 def card_clocks(spark, d):
-    """The first channel against copies of itself that begin later or earlier, and against the second channel, which has nothing in common with it."""
-    chunks = recording(spark, d).select(F.col("channel"), "first_sample", "samples")
-    first = chunks.where("channel = '0'")
-    cards = [first.select(F.lit("ref").alias("card"), "first_sample", "samples"), *[first.select(F.lit(c).alias("card"), F.col("first_sample") + k, "samples") for c, k in LATE.items()]]
-    cards.append(chunks.where("channel = '1'").select(F.lit("other").alias("card"), "first_sample", "samples"))
-    rows = cards[0].unionByName(cards[1].toDF("card", "first_sample", "samples")).unionByName(cards[2].toDF("card", "first_sample", "samples")).unionByName(cards[3])
-    found = clocks.card_clocks(rows, "ref", 64.0, (1.0, 28.0), block=1 << 11, search=32, frame=256)
+    """All vectors end to end as a record, against copies of it that begin later or earlier; one is off by more than is searched, and so has nothing in common with it."""
+    record = table(spark, d, "embeddings").select((F.col("vec_id") * 64).alias("first_sample"), F.col("embedding").alias("samples"))
+    copies = F.explode(F.array(F.struct(F.lit("ref").alias("card"), F.lit(0).alias("late")), *[F.struct(F.lit(c).alias("card"), F.lit(k).alias("late")) for c, k in LATE.items()]))
+    rows = record.withColumn("_c", copies).select("_c.card", (F.col("first_sample") + F.col("_c.late")).alias("first_sample"), "samples")
+    found = clocks.card_clocks(rows, "ref", 64.0, (1.0, 28.0), block=1 << 12, search=32, frame=256)
     return found.select("card", F.round(F.col("offset_s") * 64, 3).alias("offset_samples"), (F.round("rate_ppm", 1) + 0.0).alias("rate_ppm"), "ok")
 
 
@@ -132,10 +130,10 @@ def lock_in_peaks(spark, d):
 
 @query("relocated_entries")
 def relocated_entries(spark, d):
-    """A log of one entry each ten chunks, of the three tones in turn, found again in the first channel."""
-    first = recording(spark, d).where("channel = '0'")
-    peaks = relocation.lock_in_peaks(first, list(TONES), WINDOW, LEAST, block=1 << 12)
-    entries = first.select("path", F.floor(F.col("first_sample") / 640).alias("entry")).distinct()
+    """For each channel a log of one entry each ten chunks, of the three tones in turn, found again in it."""
+    chunks = recording(spark, d).select(F.col("channel").alias("path"), "channel", "first_sample", "samples")
+    peaks = relocation.lock_in_peaks(chunks, list(TONES), WINDOW, LEAST, block=1 << 12)
+    entries = chunks.select("path", F.floor(F.col("first_sample") / 640).alias("entry")).distinct()
     entries = entries.select("path", "entry", (F.col("entry") % 3).cast("int").alias("tone"), (F.col("entry") * 640).alias("expected"), F.lit(WINDOW).alias("gap"))
     found = relocation.relocated(entries, peaks, 2000.0)
     return found.select("path", "entry", "tone", "at", F.round("size", 7).alias("size"), F.round("score", 6).alias("score"))
