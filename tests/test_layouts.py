@@ -43,3 +43,38 @@ def test_correlation_against_a_plain_sum(spark, tmp_path, monkeypatch):
     z = z - z.mean()
     want = [np.mean((np.conj(z[: 500 - k]) * z[k:]).real) for k in range(21)]
     assert row.correlation == pytest.approx([w / want[0] for w in want])
+
+
+def test_two_singles_are_no_double(spark, tmp_path):
+    # running sums whose singles, two by two, move as smoothly as doubles; true doubles stay
+    rows, want = [], {}
+    for seed in (12, 1771, 1810, 2001, 2236):
+        rnd = np.random.default_rng(seed)
+        v = rnd.normal(size=(64, 64))
+        sums = np.cumsum((v / np.linalg.norm(v, axis=1)[:, None]).astype("<f4").reshape(-1, 8).astype(float), axis=0)
+        fine = sums + 1e-9 * rnd.normal(size=sums.shape)
+        for kind, lead, values in (("<f4", 0, sums), (">f4", 0, sums), ("<f4", 4, sums), ("<f8", 0, fine), (">f8", 3, fine)):
+            name = f"{seed}_{kind[1:]}_{kind[0] == '<'}_{lead}"
+            data = bytes(range(lead)) + values.astype(kind).tobytes()
+            (tmp_path / name).write_bytes(data)
+            rows.append((str(tmp_path / name), len(data)))
+            want[name] = (kind, 8 * int(kind[2:]), lead % int(kind[2:]), None)
+    got = {r.path.rsplit("/", 1)[1]: (r.type, r.record, r.first, r.reason) for r in layouts.layouts(spark.createDataFrame(rows, "path string, n_bytes long")).collect()}
+    assert got == want
+
+
+def test_halves_over_spans(spark, tmp_path, monkeypatch):
+    # every other place is noisy: the lesser score is that of these, whichever half a span begins with
+    rnd = np.random.default_rng(3)
+    values = np.cumsum(rnd.normal(size=(1600, 8)), axis=0)
+    values[:, 1::2] += rnd.normal(size=(1600, 4))
+    (tmp_path / "x").write_bytes(values.astype("<f4").tobytes())
+    files = spark.createDataFrame([(str(tmp_path / "x"), 4 * values.size)], "path string, n_bytes long")
+    records = spark.createDataFrame([(str(tmp_path / "x"), 32)], "path string, record int")
+    lesser = []
+    for span in (4096, 4100):
+        monkeypatch.setattr(layouts, "SPAN", span)
+        scores = {(r.type, r.first): r for r in layouts.layout_scores(files, records).collect()}
+        assert scores["<f8", 0].halves == scores["<f8", 4].halves and scores["<f8", 3].halves < 0.05 and scores["<f4", 0].halves == 0
+        lesser.append(scores["<f8", 0].halves)
+    assert lesser[0] == pytest.approx(lesser[1], abs=0.03) and 0.05 < lesser[0] < scores["<f4", 0].score - 0.1
